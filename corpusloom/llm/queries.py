@@ -14,8 +14,7 @@ SPAM_HOSTS = r"(^|\.)(spam-farm|cheap-pills|click-bait|casino-win)\."
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    canonical = url_filter.canonical_url(F.col("url"))
-    listed = pages.select(canonical.alias("url")).where(url_filter.url_host(F.col("url")).rlike(SPAM_HOSTS))
+    listed = pages.where(url_filter.url_host(F.col("url")).rlike(SPAM_HOSTS)).select(url_filter.canonical_url(F.col("url")))
     return url_filter.filter_urls(pages, listed)
 
 
