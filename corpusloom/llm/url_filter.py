@@ -103,7 +103,7 @@ def filter_urls(
 
     listed: a DataFrame whose first column holds canonical URLs; nulls and repeats in it are ignored.
     """
-    urls = listed.select(F.col(listed.columns[0]).alias("url")).where(F.col("url").isNotNull()).distinct()
+    urls = listed.toDF("url", *(f"_{i}" for i in range(1, len(listed.columns)))).select("url").where(F.col("url").isNotNull()).distinct()
     count = urls.count()
     blocks = max(1, -(-count * BITS_PER_URL // BLOCK_BITS))
     small = count <= broadcast_urls
