@@ -40,3 +40,14 @@ def remove_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     hadoop = jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+#: What a worker process keeps between tasks, by kind; one value each.
+_kept: dict = {}
+
+
+def kept(kind: str, key: object, make):
+    """make()'s value for key, made once in a worker process; another key of the same kind replaces it."""
+    if _kept.get(kind, (None,))[0] != key:
+        _kept[kind] = (key, make())
+    return _kept[kind][1]

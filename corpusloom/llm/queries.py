@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import secrets, url_filter
+from . import secrets, simhash, token_counts, token_files, url_filter
 from .common import table
 
 #: Hosts known for spam; the canonical URLs of their pages are the list that the filter is built of.
@@ -22,7 +23,30 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(secrets.scan_secrets(table(spark, sf_dir, "documents"), keep=["doc_id"]))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_secret_scan)}
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = token_files.write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read_token_files(spark, written)
+
+
+def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_url_filter,
+        op2_secret_scan,
+        op3_token_counts,
+        op4_token_files,
+        op8_simhash_dedup,
+    )
+}
 
 _CANONICAL = r"""nullif(regexp_replace(h, '^www\.', '') || regexp_replace(p, '/+$', '') || coalesce('?' || nullif(array_to_string(list_filter(string_split(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), '&'), lambda x: NOT regexp_matches(x, '^(utm_[^=]*|ref)(=|$)') AND x <> ''), '&'), ''), ''), '')"""
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
