@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import secrets, simhash, token_counts, token_files, url_filter
+from . import decontaminate, language_id, secrets, simhash, token_counts, token_files, toxicity, url_filter
 from .common import table
 
 #: Hosts known for spam; the canonical URLs of their pages are the list that the filter is built of.
@@ -32,11 +32,31 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, written)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = language_id.held_out(F.col("doc_id"), 4, 2)
+    model = language_id.fit(docs.where(~held))
+    return language_id.predict_languages(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return rows.select(F.col("id").alias("doc_id"), simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = language_id.held_out(F.col("doc_id"), 5, 0)
+    field = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held))
+    scored = toxicity.score_documents(docs, field)
+    predicted = F.when(F.col("score") >= 0.5, F.lit(1)).otherwise(F.lit(0))
+    return scored.select("doc_id", held.alias("held_out"), "score", predicted.alias("predicted"), "spans")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -44,7 +64,10 @@ QUERIES = {
         op2_secret_scan,
         op3_token_counts,
         op4_token_files,
+        op5_language_id,
+        op6_decontaminate,
         op8_simhash_dedup,
+        op9_toxicity,
     )
 }
 
