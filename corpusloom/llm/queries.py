@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, secrets, simhash, token_counts, token_files, toxicity, url_filter
+from . import byte_bpe, decontaminate, language_id, secrets, simhash, token_counts, token_files, toxicity, url_filter
 from .common import table
 
 #: Hosts known for spam; the canonical URLs of their pages are the list that the filter is built of.
@@ -57,6 +57,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", predicted.alias("predicted"), "spans")
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -68,6 +73,7 @@ QUERIES = {
         op6_decontaminate,
         op8_simhash_dedup,
         op9_toxicity,
+        op10_byte_bpe,
     )
 }
 

@@ -41,6 +41,7 @@ EPOCHS = 20
 RATE = 0.5
 PENALTY = 1e-4
 HALF = 0.5
+LOG2 = math.log(2)
 BLOCK = 256
 #: Words scored at once, and words whose scores a worker keeps.
 CHUNK = 200_000
@@ -120,9 +121,15 @@ def marginals(emission: np.ndarray, first: np.ndarray, moves: np.ndarray, start:
     return chance, moved, np.array([first.sum() - begun, begun])
 
 
+def evidence(chance: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """For each document, minus the log of the chance that none of its offending words (marginal HALF or more) is toxic."""
+    return np.add.reduceat(np.where(chance >= HALF, -np.log1p(-np.minimum(chance, 1 - 1e-12)), 0.0), starts)
+
+
 class Field:
-    def __init__(self, weights: np.ndarray, moves: np.ndarray, start: np.ndarray):
-        self.weights, self.moves, self.start = weights, moves, start
+    def __init__(self, weights: np.ndarray, moves: np.ndarray, start: np.ndarray, limit: float = LOG2):
+        """limit: the evidence (see evidence()) from which a document counts as toxic."""
+        self.weights, self.moves, self.start, self.limit = weights, moves, start, limit
         self.known: dict[str, float] = {}
         self.trained = bool(weights.any())
 
@@ -149,11 +156,12 @@ class Field:
             first[starts] = True
             chance = marginals(self.emission(held), first, self.moves, self.start)
             most = np.maximum.reduceat(chance, starts)
-            scores[owners] = most
+            bad = most >= HALF
+            found = 1 - np.exp(-evidence(chance, starts) * LOG2 / self.limit)
+            scores[owners] = np.where(bad, found, most * LOG2 / self.limit)
             for at in np.flatnonzero(most >= HALF).tolist():
                 own = chance[starts[at] : starts[at] + sizes[at]]
                 bad = np.flatnonzero(own >= HALF)
-                scores[owners[at]] = 1 - np.prod(1 - np.minimum(own[bad], 1.0))
                 places = [m.span() for m in _WORD.finditer(texts[owners[at]])]
                 if len(places) == sizes[at]:
                     spans[owners[at]] = [(*places[i], float(own[i])) for i in bad.tolist()]
@@ -275,7 +283,16 @@ def fit_field(texts: list[tuple[str, int]], epochs: int = EPOCHS) -> Field:
         slope = seen_start - begun
         start_squares += slope * slope
         start += RATE * slope / np.sqrt(start_squares)
-    return Field(weights, moves, start)
+    starts = np.flatnonzero(first)
+    return Field(weights, moves, start, _limit(evidence(chance, starts), np.array([bool(label) for _, label in docs])))
+
+
+def _limit(found: np.ndarray, toxic: np.ndarray) -> float:
+    """The least evidence that tells the labelled documents apart best, LOG2 (the plain noisy-or) at least."""
+    levels = np.unique(np.maximum(found, LOG2))
+    tries = np.concatenate([[LOG2], (levels[1:] + levels[:-1]) / 2])
+    right = [np.count_nonzero((found >= t) == toxic) for t in tries]
+    return float(tries[int(np.argmax(right))])
 
 
 def fit(
@@ -307,8 +324,8 @@ def fit(
 
 
 def _sent(docs: DataFrame, field: Field):
-    parts = docs.sparkSession.sparkContext.broadcast((field.weights.astype(np.float32), field.moves, field.start))
-    key = hashlib.sha256(field.weights.tobytes() + field.moves.tobytes() + field.start.tobytes()).hexdigest()
+    parts = docs.sparkSession.sparkContext.broadcast((field.weights.astype(np.float32), field.moves, field.start, field.limit))
+    key = hashlib.sha256(field.weights.tobytes() + field.moves.tobytes() + field.start.tobytes() + repr(field.limit).encode()).hexdigest()
     return lambda: kept("toxicity field", key, lambda: Field(*parts.value))
 
 
