@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, language_id, secrets, simhash, token_counts, token_files, toxicity, url_filter
+from . import byte_bpe, decontaminate, language_id, neighbours, secrets, simhash, token_counts, token_files, toxicity, url_filter
 from .common import table
 
 #: Hosts known for spam; the canonical URLs of their pages are the list that the filter is built of.
@@ -43,6 +43,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return rows.select(F.col("id").alias("doc_id"), simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
@@ -71,6 +75,7 @@ QUERIES = {
         op4_token_files,
         op5_language_id,
         op6_decontaminate,
+        op7_neighbours,
         op8_simhash_dedup,
         op9_toxicity,
         op10_byte_bpe,
