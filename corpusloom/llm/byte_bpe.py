@@ -25,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import regex
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,34 +53,35 @@ def _let(value: Column, then) -> Column:
 
 
 class Ranks:
-    def __init__(self, ranks: dict[bytes, int], spark, buckets: int = RANK_BUCKETS):
-        """Each piece goes to the bucket that Spark's own hash names, so that lookups and literal agree."""
-        names = [(piece.decode("latin-1"), rank) for piece, rank in ranks.items()]
+    def __init__(self, ranks: dict[bytes, int], buckets: int = RANK_BUCKETS):
+        """Each piece goes to the bucket that Spark's xxhash64 (XXH64 of the letters' UTF-8 with seed 42) names."""
         self.buckets = buckets
-        dealt = spark.createDataFrame(names, "piece string, rank int").select("piece", "rank", self._bucket(F.col("piece")).alias("b"))
         table: list[dict[str, int]] = [{} for _ in range(buckets)]
-        for piece, rank, b in dealt.collect():
-            table[b][piece] = rank
-        self.table = F.from_json(F.lit(json.dumps(table)), "array<map<string,int>>")
+        for piece, rank in ranks.items():
+            name = piece.decode("latin-1")
+            signed = np.uint64(xxhash.xxh64_intdigest(name.encode(), 42)).astype(np.int64)
+            table[int(signed) % buckets][name] = rank
+        self.literal = F.from_json(F.lit(json.dumps(table)), "array<map<string,int>>")
 
-    def _bucket(self, piece: Column) -> Column:
-        return F.pmod(F.xxhash64(piece), F.lit(self.buckets).cast("bigint")).cast("int")
+    def of(self, table: Column, piece: Column) -> Column:
+        """A piece's rank, NONE if it has none. table: the literal, or what stands for it in a higher-order function."""
+        bucket = F.pmod(F.xxhash64(piece), F.lit(self.buckets).cast("bigint")).cast("int")
+        return F.coalesce(F.get(table, bucket)[piece], F.lit(NONE))
 
-    def of(self, piece: Column) -> Column:
-        return F.coalesce(F.get(self.table, self._bucket(piece))[piece], F.lit(NONE))
 
+def fold_ids(pieces: Column, ranks: Ranks) -> Column:
+    """The ids of a word's pieces after all merges. The literal stands once in the expression, however often it is used."""
+    return _let(ranks.literal, lambda table: F.transform(_fold(pieces, lambda x: ranks.of(table, x)), lambda x: ranks.of(table, x)))
 
-def fold_merges(pieces: Column, ranks: Ranks) -> Column:
-    """The pieces after all merges."""
-    pair = lambda p, i: ranks.of(F.concat(F.get(p, i), F.get(p, i + 1)))
 
+def _fold(pieces: Column, rank) -> Column:
     def merge(p: Column, r: Column, i: Column) -> Column:
         joined = F.concat(F.get(p, i), F.get(p, i + 1))
         size = F.size(p)
 
         def put(q: Column) -> Column:
-            before = F.when(i > 0, ranks.of(F.concat(F.get(p, i - 1), q)))
-            after = F.when(i + 2 < size, ranks.of(F.concat(q, F.get(p, i + 2)))).otherwise(F.lit(NONE))
+            before = F.when(i > 0, rank(F.concat(F.get(p, i - 1), q)))
+            after = F.when(i + 2 < size, rank(F.concat(q, F.get(p, i + 2)))).otherwise(F.lit(NONE))
             own = F.when(i > 0, F.concat(F.slice(r, F.lit(1), i - 1), F.array(before, after))).otherwise(F.array(after))
             return F.struct(
                 F.concat(F.slice(p, F.lit(1), i), F.array(q), F.slice(p, i + 3, size)).alias("p"),
@@ -94,7 +96,7 @@ def fold_merges(pieces: Column, ranks: Ranks) -> Column:
         return F.when(least == NONE, acc).otherwise(_let(place, lambda i: merge(acc["p"], acc["r"], i)))
 
     size = F.size(pieces)
-    first = F.transform(pieces, lambda x, i: F.when(i + 1 < size, ranks.of(F.concat(x, F.get(pieces, i + 1)))).otherwise(F.lit(NONE)))
+    first = F.transform(pieces, lambda x, i: F.when(i + 1 < size, rank(F.concat(x, F.get(pieces, i + 1)))).otherwise(F.lit(NONE)))
     start = F.struct(pieces.alias("p"), first.alias("r"))
     return F.aggregate(F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1))), start, step, lambda acc: acc["p"])
 
@@ -119,10 +121,9 @@ def frequent_words(
     words = some.select(F.explode(F.regexp_extract_all(F.col(text_col), F.lit(java_pattern(pattern)), F.lit(0))).alias("word"))
     words = words.where((F.octet_length("word") <= LONG_WORD) & (F.octet_length("word") > 0)).groupBy("word").count()
     words = words.orderBy(F.desc("count"), "word").limit(head_words).select("word")
-    literal = Ranks(ranks, docs.sparkSession)
     words = words.repartition(docs.sparkSession.sparkContext.defaultParallelism)
     pieces = words.select("word", word_bytes(F.col("word")).alias("p"))
-    found = pieces.select("word", F.transform(fold_merges(F.col("p"), literal), literal.of).alias("ids")).toPandas()
+    found = pieces.select("word", fold_ids(F.col("p"), Ranks(ranks)).alias("ids")).toPandas()
     return dict(zip(found["word"].tolist(), map(list, found["ids"].tolist()), strict=True))
 
 

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -91,15 +91,16 @@ def fingerprints(texts: list[str | None]) -> np.ndarray:
     return out
 
 
-def fingerprint_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", extra: str | None = None) -> DataFrame:
-    """id and fp (the fingerprint as a signed BIGINT) of every row."""
+def fingerprint_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tag: Column | None = None) -> DataFrame:
+    """id, fp (the fingerprint as a signed BIGINT) and, if given, tag (a string expression) of every row."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"id": batch["id"], "fp": fingerprints(batch["text"].tolist()).view(np.int64)})
+            yield batch[["id"]].assign(fp=fingerprints(batch["text"].tolist()).view(np.int64), **{c: batch[c] for c in batch.columns[2:]})
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(run, f"id {kind}, fp bigint")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *([] if tag is None else [tag.alias("tag")]))
+    return rows.mapInPandas(run, f"id {kind}, fp bigint" + ("" if tag is None else ", tag string"))
 
 
 # --- Gray-order hierarchical index -------------------------------------------------------------------------------------
@@ -253,13 +254,16 @@ def fingerprint_edges(distinct: DataFrame, limit: int = MAX_BITS, hot_key: int =
     return rows.mapInPandas(run, "a bigint, b bigint").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = MAX_BITS) -> DataFrame:
-    """id, fp and component_id (the smallest id reachable by links, itself included) of every row.
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = MAX_BITS, tag: Column | None = None
+) -> DataFrame:
+    """id, fp, component_id (the smallest id reachable by links, itself included), group (a fingerprint that names the
+    component) and, if given, tag of every row.
 
     A null text counts as empty; texts without words have fingerprint zero and are linked like any other; a null id is
     kept and never a component's name unless all of its ids are null; repeated rows stay; other columns take no part.
     """
-    marks = materialize(fingerprint_rows(docs, id_col, text_col), "fingerprints")
+    marks = materialize(fingerprint_rows(docs, id_col, text_col, tag), "fingerprints")
     distinct = marks.groupBy("fp").agg(F.min("id").alias("least"))
     edges = materialize(fingerprint_edges(distinct.select("fp"), limit), "fingerprint-edges")
     groups = connected_components(edges)
@@ -268,8 +272,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     named = materialize(named, "fingerprint-groups")
     names = named.groupBy("group").agg(F.min("least").alias("component_id"))
-    named = named.join(names, "group").select("fp", "component_id")
-    return marks.join(named, "fp").select("id", "fp", "component_id")
+    named = named.join(names, "group").select("fp", "group", "component_id")
+    return marks.join(named, "fp").select("id", "fp", "component_id", "group", *([] if tag is None else ["tag"]))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = MAX_BITS) -> DataFrame:
+    """One row of each group of near-duplicates, with all its columns: that of the least id (null ids last), then of the least
+    digest of id and text; of rows that repeat both, any one."""
+    text = F.coalesce(F.col(text_col), F.lit("~"))
+    tag = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("~")), F.lit("|"), text).cast("binary"))
+    groups = near_duplicates(docs, id_col, text_col, limit, tag)
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("tag"))).alias("first")
+    chosen = groups.groupBy("group").agg(first).select(F.col("first.tag").alias("_tag"))
+    kept = docs.withColumn("_tag", tag).join(chosen, "_tag", "left_semi")
+    return kept.dropDuplicates(["_tag"]).select(*docs.columns)
 
 
 def hex_fingerprint(fp) -> object:

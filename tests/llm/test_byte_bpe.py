@@ -42,8 +42,7 @@ def test_merges_match_the_library(ranks, library):
 def test_fold_matches_the_library(spark, ranks, library):
     words = sorted({w for t in filter(None, TEXTS) for w in B.Codec(ranks, public_tokenizers.PATTERN, {}).words(t) if len(w.encode()) <= B.LONG_WORD})
     frame = spark.createDataFrame([(w,) for w in words], "word string").select("word", B.word_bytes(F.col("word")).alias("p"))
-    literal = B.Ranks(ranks, spark)
-    got = frame.select("word", F.transform(B.fold_merges(F.col("p"), literal), literal.of).alias("ids")).collect()
+    got = frame.select("word", B.fold_ids(F.col("p"), B.Ranks(ranks)).alias("ids")).collect()
     assert len(got) > 300
     for r in got:
         assert list(r.ids) == library._core_bpe.encode_single_piece(r.word.encode())
