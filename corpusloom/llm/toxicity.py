@@ -22,6 +22,7 @@ import hashlib
 import math
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,8 +33,8 @@ from pyspark.sql import functions as F
 from .common import kept
 from .language_id import held_out
 
-TRAIN_DOCS = 2000
-TRAIN_CHARS = 8_000_000
+TRAIN_DOCS = 1500
+TRAIN_CHARS = 5_000_000
 BITS = 18
 PURITY = 0.95
 ALPHA = 0.01
@@ -193,14 +194,19 @@ class Sample:
                 if w not in number:
                     number[w] = len(number)
             if words:
-                docs.append((np.fromiter(map(number.__getitem__, words), np.int64, len(words)), label))
-        self.docs, self.words = docs, list(number)
-        names: dict[str, int] = {}
-        each = [[names.setdefault(f, len(names)) for f in features(w)] for w in self.words]
-        self.names = list(names)
-        self.sizes = np.fromiter(map(len, each), np.int64, len(each))
-        self.begins = np.concatenate([[0], np.cumsum(self.sizes)])[: len(each)].astype(np.int64)
-        self.flat = np.array([f for e in each for f in e], dtype=np.int64)
+                docs.append((np.fromiter(map(number.__getitem__, words), np.int32, len(words)), label))
+        self.docs, self.count = docs, len(number)
+        # features are known by their 32-bit hash, so that the driver keeps no string of theirs
+        sizes, hashes = array("H"), array("L")
+        for w in number:
+            found = [zlib.crc32(f.encode("utf-8", "surrogatepass")) for f in features(w)]
+            sizes.append(len(found))
+            hashes.extend(found)
+        number.clear()
+        self.sizes = np.array(sizes, dtype=np.int64)
+        self.begins = np.concatenate([[0], np.cumsum(self.sizes)])[: self.count].astype(np.int64)
+        self.hashes, self.flat = np.unique(np.array(hashes, dtype=np.uint32), return_inverse=True)
+        self.flat = self.flat.astype(np.int32)
 
     def of(self, words: np.ndarray) -> np.ndarray:
         """Distinct features of some words."""
@@ -229,11 +235,11 @@ def _once(sample: Sample) -> list[int]:
 
 def toxic_features(sample: Sample) -> np.ndarray:
     """For each feature, whether toxic documents have it more than chance explains."""
-    counts = np.zeros((2, len(sample.names)), dtype=np.int64)
+    counts = np.zeros((2, len(sample.hashes)), dtype=np.int32)
     some = [sample.docs[i] for i in _once(sample)]
     for words, label in some:
         counts[label, sample.of(np.unique(words))] += 1
-    found = np.zeros(len(sample.names), dtype=bool)
+    found = np.zeros(len(sample.hashes), dtype=bool)
     bad = sum(label for _, label in some)
     if not bad or bad == len(some):
         return found
@@ -259,21 +265,29 @@ def fit_field(texts: list[tuple[str, int]], epochs: int = EPOCHS) -> Field:
     tagged = np.bitwise_or.reduceat(marks[sample.flat], sample.begins)
     # a toxic document in which no word is known to be toxic would teach that its words are clean
     docs = [(words, label) for words, label in sample.docs if not label or tagged[words].any()]
-    word_of = np.concatenate([words for words, _ in docs])
-    tags = np.concatenate([tagged[words] & bool(label) for words, label in docs])
-    first = np.zeros(len(word_of), dtype=bool)
-    first[np.cumsum([0, *(len(words) for words, _ in docs[:-1])])] = True
-    hashed = np.array([zlib.crc32(f.encode("utf-8", "surrogatepass")) & (size - 1) for f in sample.names], dtype=np.int64)
-    numbers = hashed[sample.flat]
-    before = np.flatnonzero(~first)
-    seen_moves = np.zeros((2, 2))
-    np.add.at(seen_moves, (tags[before - 1].astype(int), tags[before].astype(int)), 1)
-    seen_start = np.bincount(tags[first].astype(int), minlength=2).astype(float)
+    numbers = (sample.hashes & np.uint32(size - 1)).astype(np.int64)[sample.flat]
+    parts, seen_moves, seen_start = [], np.zeros((2, 2)), np.zeros(2)
+    for some in _parts(docs):
+        word_of = np.concatenate([words for words, _ in some])
+        tags = np.concatenate([tagged[words] & bool(label) for words, label in some])
+        first = np.zeros(len(word_of), dtype=bool)
+        first[np.cumsum([0, *(len(words) for words, _ in some[:-1])])] = True
+        before = np.flatnonzero(~first)
+        np.add.at(seen_moves, (tags[before - 1].astype(int), tags[before].astype(int)), 1)
+        seen_start += np.bincount(tags[first].astype(int), minlength=2)
+        parts.append((word_of, tags, first))
     squares, move_squares, start_squares = np.full(size, 1e-8), np.full((2, 2), 1e-8), np.full(2, 1e-8)
-    for _ in range(epochs):
+    for turn in range(epochs + 1):
         per_word = np.add.reduceat(weights[numbers], sample.begins)
-        chance, moved, begun = marginals(per_word[word_of], first, moves, start, pairs=True)
-        wrong = np.bincount(word_of, weights=tags - chance, minlength=len(sample.words))
+        wrong, moved, begun, found = np.zeros(sample.count), np.zeros((2, 2)), np.zeros(2), []
+        for word_of, tags, first in parts:
+            chance, m, b = marginals(per_word[word_of], first, moves, start, pairs=True)
+            wrong += np.bincount(word_of, weights=tags - chance, minlength=sample.count)
+            moved, begun = moved + m, begun + b
+            if turn == epochs:
+                found.append(evidence(chance, np.flatnonzero(first)))
+        if turn == epochs:
+            break
         slope = np.bincount(numbers, weights=np.repeat(wrong, sample.sizes), minlength=size) - PENALTY * weights
         squares += slope * slope
         weights += RATE * slope / np.sqrt(squares)
@@ -283,8 +297,20 @@ def fit_field(texts: list[tuple[str, int]], epochs: int = EPOCHS) -> Field:
         slope = seen_start - begun
         start_squares += slope * slope
         start += RATE * slope / np.sqrt(start_squares)
-    starts = np.flatnonzero(first)
-    return Field(weights, moves, start, _limit(evidence(chance, starts), np.array([bool(label) for _, label in docs])))
+    return Field(weights, moves, start, _limit(np.concatenate(found), np.array([bool(label) for _, label in docs])))
+
+
+def _parts(docs: list) -> Iterator[list]:
+    """docs in parts of about CHUNK words."""
+    some, size = [], 0
+    for doc in docs:
+        some.append(doc)
+        size += len(doc[0])
+        if size >= CHUNK:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
 
 
 def _limit(found: np.ndarray, toxic: np.ndarray) -> float:
@@ -319,8 +345,8 @@ def fit(
     kind = rows.schema["id"].dataType.simpleString()
     some = docs.sparkSession.createDataFrame(kept_, f"id {kind}, h bigint")
     rows = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(some), ["id", "h"], "left_semi")
-    texts = [(r["text"], r["label"]) for r in rows.select("id", "h", "text", "label").distinct().orderBy("id", "h").collect()]
-    return fit_field(texts)
+    rows = rows.select("id", "h", "text", "label").dropDuplicates(["id", "h"]).orderBy("id", "h")
+    return fit_field([(r["text"], r["label"]) for r in rows.toLocalIterator()])
 
 
 def _sent(docs: DataFrame, field: Field):
