@@ -145,17 +145,15 @@ s AS (SELECT id, sum(CASE WHEN s >= 0 THEN 1::HUGEINT << b::INTEGER ELSE 0 END):
 
 @query(_HASH + "SELECT a.id AS item_id, lower(lpad(to_hex(coalesce(u, 0)), 16, '0')) AS simhash FROM a LEFT JOIN s USING (id)")
 def simhash(spark, sf_dir):
-    rows = T.with_nfkc(table(spark, sf_dir, "benchmark"), "text")
-    value = T.simhash(T.simhash_features(T.tokens(F.col("text"))))
-    return rows.select("item_id", F.lower(F.lpad(F.hex(value), 16, "0")).alias("simhash"))
+    rows = table(spark, sf_dir, "benchmark").select("item_id", T.simhash(F.col("text")).alias("h"))
+    return rows.select("item_id", F.lower(F.lpad(F.hex("h"), 16, "0")).alias("simhash"))
 
 
 @query(_HASH + """, t AS (SELECT a.id, coalesce(u, 0) AS u FROM a LEFT JOIN s USING (id))
 SELECT x.id AS left_id, y.id AS right_id, bit_count(xor(x.u, y.u))::INTEGER AS distance FROM t x JOIN t y ON x.id < y.id
 WHERE bit_count(xor(x.u, y.u)) <= 14""")
 def near_duplicate_pairs(spark, sf_dir):
-    rows = T.with_nfkc(table(spark, sf_dir, "benchmark"), "text")
-    rows = rows.select("item_id", T.simhash(T.simhash_features(T.tokens(F.col("text")))).alias("h"))
+    rows = table(spark, sf_dir, "benchmark").select("item_id", T.simhash(F.col("text")).alias("h"))
     links = dedup.near_pairs(rows.select("h"), 14)
     links = links.union(links.select("b", "a", "distance")).union(rows.select("h", "h", F.lit(0)).distinct())
     left, right = rows.toDF("left_id", "a"), rows.toDF("right_id", "b")
@@ -390,9 +388,10 @@ def greedy_dedup(spark, sf_dir):
 @query()
 def greedy_dedup_near(spark, sf_dir):
     """All documents by precedence of split (test sources first), then length: exact, then near (SimHash within 8) duplicates."""
-    rows = documents(spark, sf_dir).select("doc_id", "source", T.tokens(F.col("text")).alias("w"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", "source", T.simhash(F.col("text")).alias("h"), T.nfkc(F.col("text")).alias("t"))
+    rows = rows.select("doc_id", "source", "h", T.tokens(F.col("t")).alias("w"))
     rows = rows.select("doc_id", F.when(F.col("source").isin("src3", "src4"), 0).otherwise(1).alias("precedence"), F.size("w").alias("n"),
-                       F.sha2(F.array_join("w", " "), 256).alias("k"), T.simhash(T.simhash_features(F.col("w"))).alias("h"))
+                       F.sha2(F.array_join("w", " "), 256).alias("k"), "h")
     rules = [dedup.Rule("exact_text", "k"), dedup.Rule("near_text", "h", 8)]
     found = dedup.greedy_deduplicate(rows, "doc_id", [F.col("precedence"), -F.col("n"), F.col("doc_id")], rules)
     return found.select("doc_id", "duplicate_reason", "duplicate_of", "duplicate_distance")

@@ -1,18 +1,21 @@
 """Text as columns: normalising, tokens, fingerprints, SimHash, overlaps, spans and payloads.
 
-Everything runs in the JVM but for Unicode compatibility composition (nfkc) and evidence offsets, which are Arrow UDFs.
+Everything runs in the JVM but for Unicode compatibility composition (nfkc), SimHash and evidence offsets, which are Arrow UDFs.
 The other functions take text that nfkc has been applied to where that matters.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
+from collections.abc import Callable, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 #: What Python calls white space, spelt out for Java.
 SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
@@ -22,6 +25,12 @@ STOPWORDS = (
 ).split()
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value) with value computed once: higher-order functions share no repeated parts, and a part that stands in a
+    lambda is computed for each element."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
 def nfkc(text: Column) -> Column:
     @F.pandas_udf(StringType())
     def compose(values: pd.Series) -> pd.Series:
@@ -92,32 +101,48 @@ def ngrams(words: Column, n: int) -> Column:
 
 def repeated_ngram(words: Column, n: int = 8, times: int = 3) -> Column:
     """Whether some n-gram occurs `times` times: equal n-grams stand together once sorted, so one look `times - 1` ahead tells."""
-    ordered = F.array_sort(ngrams(words, n))
-    there = F.exists(
-        F.transform(ordered, lambda x, i: (i + times <= F.size(ordered)) & (F.get(ordered, i + times - 1) == x)), lambda x: x
-    )
-    # most texts repeat no n-gram at all: the distinct count settles them without the pairwise look
-    some = F.size(ordered) - F.size(F.array_distinct(ordered)) >= times - 1
-    return F.when((F.size(words) >= n * times) & some, there).otherwise(F.lit(False))
+
+    def tell(ordered: Column) -> Column:
+        last = F.size(ordered) - times
+        ahead = lambda i: F.get(ordered, i) == F.get(ordered, i + times - 1)
+        return F.when(last >= 0, F.exists(F.sequence(F.lit(0), last), ahead)).otherwise(F.lit(False))
+
+    long_enough = lambda w: F.when(F.size(w) >= n * times, let(F.array_sort(ngrams(w, n)), tell)).otherwise(F.lit(False))
+    return let(words, long_enough)
+
+
+#: Hashes whose bits are counted at once.
+SLICE = 1 << 16
+_ASCII_WORD = re.compile(r"[a-z0-9]+(?:['’][a-z0-9]+)?", re.IGNORECASE | re.ASCII)
 
 
-def simhash_features(words: Column) -> Column:
+def shingles(text: str) -> list[str]:
     """Three-token shingles with repeats; the tokens themselves where there are fewer than three."""
-    return F.when(F.size(words) < 3, words).otherwise(ngrams(words, 3))
+    text = text if text.isascii() else unicodedata.normalize("NFKC", text).replace("\ufeff", "")
+    words = [w.replace("’", "'").lower() for w in _ASCII_WORD.findall(text)]
+    return words if len(words) < 3 else [f"{a} {b} {c}" for a, b, c in zip(words, words[1:], words[2:], strict=False)]
 
 
-def simhash(features: Column) -> Column:
-    """64-bit SimHash of sha-256 halves as BIGINT: a bit is set where as many or more hashes have it than not; 0 of none."""
-    zeros = F.array_repeat(F.lit(0), 64)
-    places = F.sequence(F.lit(0), F.lit(63))
-    signed = lambda f: F.conv(F.substring(F.sha2(f, 256), 1, 16), 16, -10).cast("bigint")
-    bit = lambda h, b: F.call_function("shiftrightunsigned", h, b).bitwiseAND(F.lit(1).cast("bigint")).cast("int")
-    hashes = F.transform(features, signed)
-    sums = F.aggregate(hashes, zeros, lambda acc, h: F.zip_with(acc, places, lambda s, b: s + 2 * bit(h, b) - 1))
-    one = lambda b: F.call_function("shiftleft", F.lit(1).cast("bigint"), b)
-    zero = F.lit(0).cast("bigint")
-    word = F.aggregate(F.zip_with(sums, places, lambda s, b: F.when(s >= 0, one(b)).otherwise(zero)), zero, lambda a, x: a.bitwiseOR(x))
-    return F.when(F.size(features) > 0, word).otherwise(zero)
+def simhash_of(features: Sequence[str]) -> int:
+    """64-bit SimHash of the first halves of sha-256, signed: a bit is set where as many or more hashes have it than not; 0 of none."""
+    count, sums = len(features), np.zeros(64, dtype=np.int64)
+    if not count:
+        return 0
+    for at in range(0, count, SLICE):
+        data = b"".join(hashlib.sha256(f.encode()).digest()[:8] for f in features[at : at + SLICE])
+        sums += np.unpackbits(np.frombuffer(data, dtype=np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * sums >= count).view(">i8")[0])
+
+
+def simhash(text: Column) -> Column:
+    """simhash_of the shingles of the composed text, 0 of null. An Arrow function: counting 64 bits a shingle by higher-order
+    functions is far slower."""
+
+    @F.pandas_udf(LongType())
+    def hashed(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: simhash_of(shingles(v or ""))).astype("int64")
+
+    return hashed(text)
 
 
 def hamming(a: Column, b: Column) -> Column:
@@ -131,24 +156,30 @@ def content_tokens(text: Column) -> Column:
 
 def overlap(answer_tokens: Column, source_tokens: Column) -> Column:
     """Share of the first set that is in the second; 0 of an empty set."""
-    return F.when(
-        F.size(answer_tokens) > 0, F.size(F.array_intersect(answer_tokens, source_tokens)) / F.size(answer_tokens)
-    ).otherwise(F.lit(0.0))
+    share = lambda a: F.when(F.size(a) > 0, F.size(F.array_intersect(a, source_tokens)) / F.size(a)).otherwise(F.lit(0.0))
+    return let(answer_tokens, share)
 
 
 def common_prefix(left: Column, right: Column) -> Column:
     """Number of leading tokens that two arrays share."""
-    size = F.least(F.size(left), F.size(right))
-    differs = F.array_position(F.zip_with(F.slice(left, 1, size), F.slice(right, 1, size), lambda a, b: a == b), F.lit(False))
-    return F.when(differs > 0, differs - 1).otherwise(size.cast("bigint"))
+
+    def count(pair: Column) -> Column:
+        a, b = pair["a"], pair["b"]
+        size = F.least(F.size(a), F.size(b))
+        differs = F.array_position(F.zip_with(F.slice(a, F.lit(1), size), F.slice(b, F.lit(1), size), lambda x, y: x == y), F.lit(False))
+        return let(differs, lambda d: F.when(d > 0, d - 1).otherwise(size.cast("bigint")))
+
+    return let(F.struct(left.alias("a"), right.alias("b")), count)
 
 
 def common_prefix_ratio(left: Column, right: Column) -> Column:
+    """Shared leading tokens by the length of the shorter array."""
     size = F.least(F.size(left), F.size(right))
     return F.when(size > 0, common_prefix(left, right) / size).otherwise(F.lit(0.0))
 
 
 def left_coverage_ratio(left: Column, right: Column) -> Column:
+    """Shared leading tokens by the length of the left array."""
     return F.when((F.size(left) > 0) & (F.size(right) > 0), common_prefix(left, right) / F.size(left)).otherwise(F.lit(0.0))
 
 
