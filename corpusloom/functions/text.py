@@ -43,6 +43,13 @@ def with_nfkc(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: nfkc(F.col(c)) for c in columns})
 
 
+def descending(text: Column) -> Column:
+    """An array that sorts in the opposite order of a short text (an id): its code points negated, and a last one that puts a
+    longer text before its own beginning."""
+    codes = F.transform(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), lambda c: -F.ascii(c))
+    return F.concat(codes, F.array(F.lit(1)))
+
+
 def strip(text: Column) -> Column:
     return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
 
