@@ -1,0 +1 @@
+"""Whole builds: curation (with release), evaluation sets, training sets."""
