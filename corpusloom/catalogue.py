@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import scores as S
 from corpusloom.functions import text as T
 from corpusloom.operators import audit, consensus, dedup, gates, generation, provenance, selection
+from corpusloom.plans import evaluation, training
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -469,15 +470,14 @@ def generation_queue(spark, sf_dir):
     return selection.queue_singles(rows, "explanation", 50, 4, id_col="doc_id", source="source", text="t").select("doc_id", "source", "turn", "suitability")
 
 
-@query(f"""WITH a AS (SELECT doc_id, source, {sql_clean("text")} AS t, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM documents WHERE source IS NOT NULL),
+@query(f"""WITH a AS (SELECT doc_id, source, {sql_clean("text")} AS t, doc_id // 20 AS i FROM documents WHERE source IS NOT NULL),
 b AS (SELECT doc_id, source, i, length(t) AS n, {sql_fit("t", "lower(t)", "cross_concept")} AS fit FROM a),
 c AS (SELECT x.doc_id, x.source, y.doc_id AS neighbour, y.fit AS suitability, row_number() OVER (PARTITION BY x.doc_id ORDER BY y.fit DESC, y.doc_id DESC) AS rn
 FROM b x JOIN b y ON x.source = y.source AND abs(x.i - y.i) BETWEEN 1 AND 10 AND x.n + y.n <= 3000)
 SELECT doc_id, source, neighbour, suitability FROM c WHERE rn = 1""")
 def neighbour_pairs(spark, sf_dir):
-    rows = documents(spark, sf_dir).where("source is not null").select("doc_id", "source", T.clean_text(F.col("text")).alias("t"))
-    place = F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))
-    return selection.neighbour_pairs(rows.withColumn("i", place), "cross_concept", "doc_id", "source", "i", "t")
+    rows = documents(spark, sf_dir).where("source is not null").select("doc_id", "source", F.expr("doc_id div 20").alias("i"), T.clean_text(F.col("text")).alias("t"))
+    return selection.neighbour_pairs(rows, "cross_concept", "doc_id", "source", "i", "t")
 
 
 @query("""WITH r AS (SELECT doc_id, max(quality) AS q, max(toxic) AS x FROM labels GROUP BY doc_id)
@@ -544,3 +544,84 @@ def messages_struct(spark, sf_dir):
 @query("SELECT sha256(string_agg(item_id || ':' || text, chr(10) ORDER BY item_id)) AS seal, count(*)::BIGINT AS n FROM benchmark")
 def artifact_seal(spark, sf_dir):
     return audit.seal(table(spark, sf_dir, "benchmark"), "item_id", F.concat(F.col("item_id").cast("string"), F.lit(":"), F.col("text")))
+
+
+# --- passes over model texts, made from documents ----------------------------------------------------------------------
+
+
+def generations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A queue row for each document, with a model text that quotes it."""
+    docs = table(spark, sf_dir, "documents").where("text is not null")
+    context = F.struct(F.col("doc_id").cast("string").alias("paragraph_id"), F.col("source").alias("source_file"), F.lit(0).alias("paragraph_index"), "text")
+    asked = F.concat(F.lit("What do the words "), F.substring("text", 1, 80), F.lit(" mean?"))
+    told = F.concat(F.lit("They say that "), F.substring("text", 81, 400), F.lit("."))
+    payload = F.to_json(F.struct(asked.alias("question"), told.alias("answer"), F.array(F.substring("text", 81, 120)).alias("evidence_quotes")))
+    return docs.select(
+        F.col("doc_id").cast("string").alias("candidate_id"), F.lit("train").alias("split"), F.lit(None).cast("string").alias("challenge_category"),
+        F.array(context).alias("contexts"), F.col("text").alias("source_text"), F.lit(1.0).alias("evidence_quality_score"), F.lit("h").alias("config_hash"),
+        payload.alias("raw_generation"),
+    )
+
+
+@query()
+def hard_filter_reasons(spark, sf_dir):
+    """The hard filter over a generation for each document, then membership of the queue."""
+    rows = generations(spark, sf_dir)
+    found = generation.membership_reasons(generation.hard_filter(rows), rows, "train", "h")
+    spans = F.transform("evidence_spans", lambda x: F.concat_ws(":", x["start"].cast("string"), x["end"].cast("string")))
+    return found.select("candidate_id", joined("reasons").alias("reasons"), "answer_source_overlap", "hard_quality_score", joined(spans).alias("spans"))
+
+
+@query()
+def training_generation_reasons(spark, sf_dir):
+    """The training gate over a tagged text for each document."""
+    docs = T.with_nfkc(table(spark, sf_dir, "documents").where("text is not null"), "text").select("doc_id", T.clean_text(F.col("text")).alias("t"))
+    tag = lambda name, c: F.concat(F.lit(f"<{name}>"), c, F.lit(f"</{name}>"))
+    asked = F.concat(F.lit("What do the words "), F.substring("t", 1, 80), F.lit(" mean?"))
+    raw = F.concat(tag("question", asked), tag("answer", F.substring("t", 81, 400)), tag("evidence_quote", F.substring("t", 81, 120)))
+    rows = docs.select("doc_id", "t", training.tagged_or_json(raw).alias("g")).where("g is not null")
+    why = training.generation_reasons(F.col("g.question"), F.col("g.answer"), F.col("t"), F.col("g.evidence_quote"))
+    return rows.select("doc_id", "g.question_type", joined(why).alias("reasons"))
+
+
+@query()
+def evaluation_candidates(spark, sf_dir):
+    """Pairs through quality and provenance against the lines of documents."""
+    asked = pairs(spark, sf_dir).withColumn("line_no", F.col("conv_id") * 100000 + F.col("turn"))
+    lines = table(spark, sf_dir, "documents").select("doc_id", "source", F.posexplode(F.split("text", "\n", -1)).alias("pos", "text"))
+    lines = lines.select("text", F.col("doc_id").cast("string").alias("source_file"), F.col("pos").alias("paragraph_index"), (F.col("doc_id") * 100000 + F.col("pos")).alias("line_no"))
+    found = evaluation.candidates(asked, lines)
+    return found.select("line_no", "qa_id", "question_type", "quality_score", "source_file", "provenance_score", "provenance_method", joined("reasons").alias("reasons"))
+
+
+@query()
+def queue_pairs(spark, sf_dir):
+    """Up to 20 pairs of neighbouring documents of each source, no document in two."""
+    rows = documents(spark, sf_dir).where("source is not null").select("doc_id", "source", F.expr("doc_id div 20").alias("i"), T.clean_text(F.col("text")).alias("t"))
+    return selection.queue_pairs(rows, "cross_concept", 20, "doc_id", "source", "i", "t")
+
+
+@query()
+def legacy_paragraphs(spark, sf_dir):
+    """Paragraphs of whole texts taken as files."""
+    files = table(spark, sf_dir, "documents").where("text is not null").select(F.col("doc_id").alias("source_file"), F.col("text").alias("value"))
+    return generation.file_paragraphs(files)
+
+
+_PREDICTED = "SELECT conv_id, turn, list_distinct(regexp_extract_all(lower(answer), '[a-z0-9'']+')) AS p, list_distinct(regexp_extract_all(lower(question), '[a-z0-9'']+')) AS r FROM q"
+
+
+@query(_PAIRS + f"SELECT conv_id, turn, round(len(list_intersect(p, r)) / greatest(1, len(p))::DOUBLE, 4) AS overlap FROM ({_PREDICTED})")
+def prediction_overlap(spark, sf_dir):
+    """Share of an answer's distinct tokens that its question has."""
+    rows = pairs(spark, sf_dir).select("conv_id", "turn", T.evaluation_tokens(F.col("answer")).alias("p"), T.evaluation_tokens(F.col("question")).alias("r"))
+    share = F.size(F.array_intersect("p", "r")) / F.greatest(F.size("p"), F.lit(1))
+    return rows.select("conv_id", "turn", F.round(share, 4).alias("overlap"))
+
+
+@query("""WITH q AS (SELECT lang, source, count(*) AS n FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL GROUP BY ALL),
+w AS (SELECT lang, source, greatest(0, 5 - n) AS short FROM q) SELECT lang, sum(short)::BIGINT AS missing FROM w GROUP BY lang""")
+def source_shortfalls(spark, sf_dir):
+    """By language, what its sources lack of a floor of five documents."""
+    rows = table(spark, sf_dir, "documents").where("lang is not null and source is not null").groupBy("lang", "source").agg(F.count("*").alias("n"))
+    return rows.groupBy("lang").agg(F.sum(F.greatest(F.lit(0), 5 - F.col("n"))).cast("bigint").alias("missing"))
