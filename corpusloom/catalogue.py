@@ -214,7 +214,9 @@ def sql_fit(t: str, low: str, kind: str) -> str:
 )
 def type_suitability(spark, sf_dir):
     rows = documents(spark, sf_dir).select("doc_id", T.clean_text(F.col("text")).alias("t"))
-    fits = F.array(*(F.struct(F.lit(k).alias("kind"), S.type_suitability(F.col("t"), k).alias("suitability")) for k in S.SIGNALS))
+    rows = rows.withColumn("low", F.lower("t")).withColumn("concepts", S.signal_hits(F.col("low"), S.CONCEPTS))
+    fit = lambda k: S.type_suitability(F.col("t"), k, F.col("low"), F.col("concepts"))
+    fits = F.array(*(F.struct(F.lit(k).alias("kind"), fit(k).alias("suitability")) for k in S.SIGNALS))
     return rows.select("doc_id", F.inline(fits))
 
 
@@ -579,8 +581,9 @@ def training_generation_reasons(spark, sf_dir):
     tag = lambda name, c: F.concat(F.lit(f"<{name}>"), c, F.lit(f"</{name}>"))
     asked = F.concat(F.lit("What do the words "), F.substring("t", 1, 80), F.lit(" mean?"))
     raw = F.concat(tag("question", asked), tag("answer", F.substring("t", 81, 400)), tag("evidence_quote", F.substring("t", 81, 120)))
-    rows = docs.select("doc_id", "t", training.tagged_or_json(raw).alias("g")).where("g is not null")
+    rows = docs.select("doc_id", "t", training.tagged_or_json(raw).alias("g"))
     why = training.generation_reasons(F.col("g.question"), F.col("g.answer"), F.col("t"), F.col("g.evidence_quote"))
+    why = F.when(F.col("g").isNull(), F.array(F.lit("generation_parse_error"))).otherwise(why)
     return rows.select("doc_id", "g.question_type", joined(why).alias("reasons"))
 
 

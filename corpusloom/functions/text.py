@@ -31,12 +31,19 @@ def let(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), then), 0)
 
 
+#: Characters that compatibility composition may change, alone or with what stands before them: all but ASCII, the Latin-1
+#: letters and signs that it leaves alone, dashes and quotation marks.
+UNSAFE = r"[^\x00-\x9f\xa1-\xa7\xa9\xab-\xae\xb0\xb1\xb6\xb7\xbb\xbf-\xff\u2013\u2014\u2018-\u201f]"
+
+
 def nfkc(text: Column) -> Column:
+    """Compatibility composition; only texts with an unsafe character go to Python."""
+
     @F.pandas_udf(StringType())
     def compose(values: pd.Series) -> pd.Series:
-        return values.map(lambda v: v if v is None or v.isascii() else unicodedata.normalize("NFKC", v))
+        return values.map(lambda v: None if v is None else unicodedata.normalize("NFKC", v))
 
-    return compose(text)
+    return F.coalesce(compose(F.when(text.rlike(UNSAFE), text)), text)
 
 
 def with_nfkc(df: DataFrame, *columns: str) -> DataFrame:
@@ -56,13 +63,16 @@ def strip(text: Column) -> Column:
 
 def clean_text(text: Column) -> Column:
     """One space for each run of white space, no byte order mark, nothing at the ends; null gives an empty string."""
-    return strip(F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), "\ufeff", ""), f"{SPACE}+", " "))
+    return F.trim(F.regexp_replace(_without_mark(text), f"{SPACE}+", " "))
+
+
+def _without_mark(text: Column) -> Column:
+    return F.replace(F.coalesce(text, F.lit("")), F.lit("\ufeff"), F.lit(""))
 
 
 def cleaning_operations(raw: Column, composed: Column) -> Column:
     """Which of unicode_nfkc, bom_removed and whitespace_normalized changed the text, in this order."""
-    raw = F.coalesce(raw, F.lit(""))
-    without_mark = F.regexp_replace(F.coalesce(composed, F.lit("")), "\ufeff", "")
+    raw, without_mark = F.coalesce(raw, F.lit("")), _without_mark(composed)
     names = F.array(
         F.when(F.coalesce(composed, F.lit("")) != raw, F.lit("unicode_nfkc")),
         F.when(F.contains(F.coalesce(composed, F.lit("")), F.lit("\ufeff")), F.lit("bom_removed")),
@@ -72,7 +82,8 @@ def cleaning_operations(raw: Column, composed: Column) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    found = F.regexp_extract_all(clean_text(text), F.lit(TOKEN), F.lit(0))
+    """Lower-case words of ASCII letters and digits; no white space is in one, so the text need not be cleaned for them."""
+    found = F.regexp_extract_all(_without_mark(text), F.lit(TOKEN), F.lit(0))
     return F.transform(found, lambda x: F.lower(F.replace(x, F.lit("’"), F.lit("'"))))
 
 
@@ -85,7 +96,8 @@ def fingerprint(text: Column) -> Column:
 
 
 def alphabetic_ratio(text: Column) -> Column:
-    return F.when(F.length(text) > 0, F.regexp_count(text, F.lit("[A-Za-z]")) / F.length(text)).otherwise(F.lit(0.0))
+    letters = F.length(F.regexp_replace(text, "[^A-Za-z]+", ""))
+    return F.when(F.length(text) > 0, letters / F.length(text)).otherwise(F.lit(0.0))
 
 
 def contains_any(text: Column, terms) -> Column:

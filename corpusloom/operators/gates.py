@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
+from corpusloom.sources.tables import checkpointed
 
 BOILERPLATE = ("isbn", "www.", "printed in", "library of congress", "all rights reserved", "table of contents")
 MOJIBAKE = ("�", "鈥", "禄", "漏", "脡", "锛", "绔", "骃")
@@ -87,6 +88,8 @@ def clean_corpus(
     # a row without provenance is never accepted, so it makes no later row a duplicate
     missing = F.array(F.lit("missing_provenance"))
     eligible = rows.withColumn("_why", F.when(source == "", F.concat("reasons", missing)).otherwise(F.col("reasons")))
+    # written once: the two sides of the join read the columns they need, instead of working through all texts twice
+    eligible = checkpointed(eligible)
     firsts = eligible.where(F.size("_why") == 0).groupBy("fingerprint").agg(F.min(order).alias("_first"))
     late = F.coalesce(F.col(order) > F.col("_first"), F.lit(False))
     found = F.concat(

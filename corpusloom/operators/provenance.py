@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
+from corpusloom.sources.tables import checkpointed
 
 SIGNATURE = 12
 FOLLOWING = 3
@@ -17,9 +18,10 @@ def paragraph_index(paragraphs: DataFrame, text: str = "text", source: str = "so
         T.strip(F.col(text)).alias("evidence"), F.col(source).cast("string").alias("source"), F.col(index).cast("bigint").alias("idx"),
         F.col(order).alias("line"),
     )
-    rows = rows.where((F.coalesce("evidence", F.lit("")) != "") & (F.coalesce("source", F.lit("")) != "") & F.col("idx").isNotNull())
-    rows = rows.withColumn("tokens", T.tokens(F.col("evidence"))).where(F.size("tokens") > 0)
-    return rows.withColumn("key", F.sha2(F.array_join("tokens", " "), 256)).withColumn("signature", T.prefix_signature(F.col("tokens"), SIGNATURE))
+    rows = rows.where((F.coalesce("source", F.lit("")) != "") & F.col("idx").isNotNull()).withColumn("tokens", T.tokens(F.col("evidence")))
+    rows = rows.withColumn("key", F.sha2(F.array_join("tokens", " "), 256)).withColumn("signature", T.prefix_signature(F.col("tokens"), SIGNATURE))
+    # matching reads it three times, each time other columns
+    return checkpointed(rows).where(F.size("tokens") > 0)
 
 
 def match(answers: DataFrame, paragraphs: DataFrame, id_col: str = "id", answer: str = "answer") -> DataFrame:
