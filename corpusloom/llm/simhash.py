@@ -284,8 +284,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = near_duplicates(docs, id_col, text_col, limit, tag)
     first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("tag"))).alias("first")
     chosen = groups.groupBy("group").agg(first).select(F.col("first.tag").alias("_tag"))
-    kept = docs.withColumn("_tag", tag).join(chosen, "_tag", "left_semi")
-    return kept.dropDuplicates(["_tag"]).select(*docs.columns)
+    kept = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), tag.alias("_tag")).join(chosen, "_tag", "left_semi")
+    return kept.dropDuplicates(["_tag"]).select(*(F.col(f"doc.`{c}`") for c in docs.columns))
 
 
 def hex_fingerprint(fp) -> object:

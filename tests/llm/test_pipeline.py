@@ -56,3 +56,25 @@ def test_stages_keep_the_columns_of_documents(spark):
         out = stage(spark, docs, sf)
         assert out.columns == docs.columns and out.count() > 0, name
         assert stage(spark, docs.limit(0), sf).count() == 0, name
+
+
+def test_stages_take_nulls_repeats_clashing_columns_and_empty_tables(spark, tmp_path):
+    names = ("_tag", "tag", "id", "fp", "doc", "spans", "row", "label", "score", "h", "word", "ids", "group", "key", "item_id")
+    long = "word and other words " * 20_000
+    rows = [
+        (1, "some words that stand here for once", "en", "s", 36), (None, None, None, None, None), (2, "", "en", "s", 0), (3, long, "de", "s", len(long)), (3, long, "de", "s", len(long)),
+        (4, None, "en", None, None),
+    ]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names)
+    docs = spark.createDataFrame([(*r, *(f"{n}!" for n in names)) for r in rows], schema)
+    for name, kind in (("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string")):
+        spark.createDataFrame([], kind).write.parquet(f"{tmp_path}/{name}.parquet")
+    for name, stage in P.STAGES[:4]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert {r.doc_id for r in got} >= {1, 3} and all(r[n] == f"{n}!" for r in got for n in names), name
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+    got = P.STAGES[4][1](spark, docs, str(tmp_path)).collect()
+    assert len(got) == len(rows) and {r.n_tokens for r in got if r.doc_id in (None, 2, 4)} == {0}
+    assert P.STAGES[4][1](spark, docs.limit(0), str(tmp_path)).count() == 0
