@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusloom.functions import fixed
 from corpusloom.functions import scores as S
 from corpusloom.functions import text as T
 from corpusloom.operators import audit, consensus, dedup, gates, generation, provenance, selection
@@ -202,7 +203,7 @@ def sql_hits(low: str, signals) -> str:
 def sql_fit(t: str, low: str, kind: str) -> str:
     out = f"0.65::DOUBLE * {sql_quality(t)} + 0.07::DOUBLE * least({sql_hits(low, S.SIGNALS[kind])}, 5) + 0.025::DOUBLE * least({sql_hits(low, S.CONCEPTS)}, 4)"
     if kind == "textual_interpretation":
-        out += f" + CASE WHEN {sql_any(t, '“”\"‘’')} THEN 0.08::DOUBLE ELSE 0 END"
+        out += f" + CASE WHEN {sql_any(t, fixed.QUOTE_MARKS)} THEN 0.08::DOUBLE ELSE 0 END"
     if kind == "definition":
         out += f" - CASE WHEN {sql_any(low, S.MEETING)} THEN 0.15::DOUBLE ELSE 0 END"
     return f"round({out}, 4)"
@@ -238,11 +239,11 @@ def text_lines(spark, sf_dir):
 
 # --- questions and answers ---------------------------------------------------------------------------------------------
 
-_KIND = f"""CASE WHEN {sql_any("lower(question)", ("compare", "differ", "distinction", "relationship between"))} THEN 'comparison'
-WHEN {sql_any("lower(question)", ("analyst", "analysis", "clinical", "neurosis", "patient", "psychosis"))} THEN 'clinical'
+_KIND = f"""CASE WHEN {sql_any("lower(question)", fixed.COMPARISON_TERMS)} THEN 'comparison'
+WHEN {sql_any("lower(question)", fixed.CLINICAL_TERMS)} THEN 'clinical'
 WHEN starts_with(lower(question), 'what is ') OR starts_with(lower(question), 'what are ') THEN 'definition'
-WHEN {sql_any("lower(question)", ("why", "role", "function", "how does", "in what way"))} THEN 'explanation'
-WHEN {sql_any("lower(question)", ("text", "passage", "seminar", "ecrits", "écrits"))} THEN 'textual_interpretation' ELSE 'other' END"""
+WHEN {sql_any("lower(question)", fixed.EXPLANATION_TERMS)} THEN 'explanation'
+WHEN {sql_any("lower(question)", fixed.TEXTUAL_TERMS)} THEN 'textual_interpretation' ELSE 'other' END"""
 
 
 @query(_PAIRS + f"SELECT conv_id, turn, {_KIND} AS question_type FROM q")

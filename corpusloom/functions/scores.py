@@ -6,19 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
+from corpusloom.functions.fixed import MEETING_MARKERS as MEETING
+from corpusloom.functions.fixed import QUOTE_MARKS
+from corpusloom.functions.fixed import TYPE_SIGNALS as SIGNALS
 
-#: Signals of each question type; concept signals count for every type.
-SIGNALS = {
-    "definition": "term|means|called|defined|is what|designate|definition|consists in".split("|"),
-    "explanation": "thus|effect|so that|because|function|therefore|in order to|consequence".split("|"),
-    "comparison": "unlike|between|difference|distinction|rather than|relation between|on the one hand|on the other hand".split("|"),
-    "textual_interpretation": "says|freud|phrase|written|seminar|signifier|discourse|formulation".split("|"),
-    "cross_concept": "real|other|desire|between|relation|symbolic|imaginary|signifier|jouissance".split("|"),
-    "clinical_application": "cure|patient|symptom|analyst|clinical|analysis|neurosis|psychosis|treatment|transference".split("|"),
-    "concept_confusion": "ego|need|real|other|desire|demand|subject|symbolic|imaginary|signifier|jouissance".split("|"),
-}
 CONCEPTS = SIGNALS["cross_concept"]
-MEETING = ("audience", "are there some", "raise their hands", "meeting last night")
 
 
 def rounded(value: Column) -> Column:
@@ -45,7 +37,7 @@ def type_suitability(text: Column, kind: str, low: Column | None = None, concept
     score = 0.65 * paragraph_quality(text) + 0.07 * F.least(signal_hits(low, SIGNALS.get(kind, [])), F.lit(5))
     score = score + 0.025 * F.least(concepts, F.lit(4))
     if kind == "textual_interpretation":
-        score = score + F.when(text.rlike("[“”\"‘’]"), 0.08).otherwise(0.0)
+        score = score + F.when(T.contains_any(text, QUOTE_MARKS), 0.08).otherwise(0.0)
     if kind == "definition":
         score = score - F.when(T.contains_any(low, MEETING), 0.15).otherwise(0.0)
     return rounded(score)

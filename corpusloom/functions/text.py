@@ -17,12 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
+from corpusloom.functions.fixed import QUESTION_LABELS, STOPWORDS
+
 #: What Python calls white space, spelt out for Java.
 SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 TOKEN = r"(?i)[a-z0-9]+(?:['’][a-z0-9]+)?"
-STOPWORDS = (
-    "which with what were was to this their the that she or on of its it is in i his her he have has had from for by being been be at as are and an a"
-).split()
 
 
 def let(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -169,7 +168,7 @@ def hamming(a: Column, b: Column) -> Column:
 
 
 def content_tokens(text: Column) -> Column:
-    kept = F.filter(tokens(text), lambda t: (F.length(t) > 2) & ~t.isin(STOPWORDS))
+    kept = F.filter(tokens(text), lambda t: (F.length(t) > 2) & ~t.isin(*STOPWORDS))
     return F.array_distinct(kept)
 
 
@@ -254,7 +253,7 @@ def tagged_field(text: Column, name: str) -> Column:
     return F.when(text.rlike(f"(?s)<{name}>.*?</{name}>"), strip(found))
 
 
-def question_cleaned(text: Column, prefixes=("Question:", "Q:", "Here is the question:")) -> Column:
+def question_cleaned(text: Column, prefixes=QUESTION_LABELS) -> Column:
     """Quotes and a leading label off; null where it is then too short or asks nothing."""
     bare = F.regexp_replace(strip(text), "^[\"'“”]+|[\"'“”]+$", "")
     bare = strip(F.regexp_replace(bare, "(?i)^(?:" + "|".join(map(re.escape, prefixes)) + ")", ""))

@@ -9,8 +9,8 @@ from corpusloom.functions import scores as S
 from corpusloom.operators.gates import reasons
 from corpusloom.operators.selection import CHALLENGE_TYPES, REGULAR_TYPES
 
-FLAGS = "answerable faithful evidence_supports_answer self_contained overclaim contradiction challenge_valid".split()
-SCORES = "answerability faithfulness evidence_support self_contained".split()
+FLAGS = ("answerable", "faithful", "evidence_supports_answer", "self_contained", "overclaim", "contradiction", "challenge_valid")
+SCORES = ("answerability", "faithfulness", "evidence_support", "self_contained")
 PAYLOAD = (
     "struct<" + ",".join(f"{f}:boolean" for f in FLAGS) + ",scores:struct<" + ",".join(f"{s}:int" for s in SCORES) + ">,"
     "canonical_question_type:string,unsupported_claims:array<string>,reason_codes:array<string>,reason:string>"

@@ -5,20 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions import fixed
 from corpusloom.functions import text as T
+from corpusloom.functions.fixed import BOILERPLATE, LEGACY_PLACEHOLDERS, META_QUESTIONS, MOJIBAKE, PLACEHOLDERS
 from corpusloom.sources.tables import checkpointed
 
-BOILERPLATE = ("isbn", "www.", "printed in", "library of congress", "all rights reserved", "table of contents")
-MOJIBAKE = ("�", "鈥", "禄", "漏", "脡", "锛", "绔", "骃")
-META_QUESTIONS = (
-    "could you clarify", "could you please specify", "what specific aspects", "what would you like to know", "are you interested in exploring",
-)
-PLACEHOLDERS = ("as an ai", "context is missing", "i cannot answer", "the provided passage does not")
-LEGACY_PLACEHOLDERS = ("sorry", "as an ai", "i am an ai", "cannot provide", "i cannot answer", "context is missing", "text provided does not")
-
 
 def reasons(*rules: tuple[Column, str]) -> Column:
     """Names of the rules whose condition holds (a null condition does not), in order."""
@@ -111,16 +105,16 @@ class AnswerRules:
     max_answer: int = 1600
 
 
-def classify_question(question: Column, definition_prefixes: Sequence[str] = ("what is ", "what are ")) -> Column:
+def classify_question(question: Column, definition_prefixes: Sequence[str] = fixed.DEFINITION_STARTS) -> Column:
     """The first type whose keywords occur; the order of the rules is part of the meaning."""
     low = F.lower(question)
     starts = low.rlike("^(?:" + "|".join(definition_prefixes) + ")")
     return (
-        F.when(T.contains_any(low, ("compare", "differ", "distinction", "relationship between")), "comparison")
-        .when(T.contains_any(low, ("analyst", "analysis", "clinical", "neurosis", "patient", "psychosis")), "clinical")
+        F.when(T.contains_any(low, fixed.COMPARISON_TERMS), "comparison")
+        .when(T.contains_any(low, fixed.CLINICAL_TERMS), "clinical")
         .when(starts, "definition")
-        .when(T.contains_any(low, ("why", "role", "function", "how does", "in what way")), "explanation")
-        .when(T.contains_any(low, ("text", "passage", "seminar", "ecrits", "écrits")), "textual_interpretation")
+        .when(T.contains_any(low, fixed.EXPLANATION_TERMS), "explanation")
+        .when(T.contains_any(low, fixed.TEXTUAL_TERMS), "textual_interpretation")
         .otherwise("other")
     )
 

@@ -17,7 +17,7 @@ DUPLICATES = [
     dedup.Rule("duplicate_question", "question_key"), dedup.Rule("duplicate_answer", "answer_key"), dedup.Rule("duplicate_evidence", "evidence_id"),
     dedup.Rule("near_duplicate_question", "question_hash", 14), dedup.Rule("near_duplicate_answer", "answer_hash", 8),
 ]
-FIELDS = "question answer evidence_quote question_type".split()
+FIELDS = ("question", "answer", "evidence_quote", "question_type")
 
 
 @dataclass(frozen=True)
