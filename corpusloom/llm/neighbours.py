@@ -1,12 +1,12 @@
 """Approximate nearest neighbours by inner product: a graph built by NN-descent, searched greedily.
 
 Equal vectors are one node, named by their least id; the KEEP least ids of each are kept, which is all that a list of KEEP - 1
-neighbours can need. Nodes are lengthened by one component to equal norms, so nearness is symmetric while the graph is
-built, and queries get zero there, so that inner products stay. Components are rounded to 8 bits for building and search;
-results are scored on the original vectors in double precision.
+neighbours can need. Nodes are lengthened by one component to equal norms, so nearness (minus the squared distance then) is
+symmetric while the graph is built; searches go by inner products. Vectors are kept as they are given (32 or 64 bits) and
+compared in double precision everywhere, so neither tight groups nor a few long rows blur what is nearer.
 
-Build: some random hyperplanes cut the nodes into cells of about CELL (larger ones are dealt into several), the nearest in
-each cell start the lists of DEGREE neighbours; then in each NN-descent round a node introduces its neighbours and some of
+Build: some random hyperplanes cut the nodes into cells of about CELL; larger cells are halved at the median along further
+directions (and dealt where even that leaves them large). The nearest in each cell start the lists of DEGREE neighbours; then in each NN-descent round a node introduces its neighbours and some of
 those that list it to each other, in Spark joins, and pairs better than what a member lists replace it. Who is introduced is
 a sample by hash of at most PART of each sort, the only bound, and one of the index: every row is indexed, and rounds end
 when few lists change. Search: each query keeps a beam of BEAM nodes, starting from its own neighbours; each round the
@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import FloatType
+from pyspark.sql.types import DoubleType, FloatType
 
 from .common import materialize
 
@@ -42,6 +42,10 @@ BEAM = 256
 EXPAND = 48
 SEARCH_ROUNDS = 6
 RESCORED = 64
+#: Halvings of cells that the hyperplanes leave large, at most.
+HALVINGS = 32
+#: Rounding error of an inner product, as a part of the greatest squared norm.
+ROUNDING = 1e-12
 #: Nodes of the greatest norms, from which every search starts too: near many queries though few nodes list them.
 ENTRIES = 32
 
@@ -71,39 +75,36 @@ def _norm2(v: Column) -> Column:
     return F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)
 
 
-def _packed(classes: DataFrame) -> DataFrame:
-    """node, base and query: the lengthened vectors as 8-bit integers."""
-    most = classes.agg(F.max(_norm2(F.col("v"))), F.max(F.array_max(F.transform("v", F.abs)))).first()
-    norm2, scale = float(most[0] or 1.0), float(most[1] or 1.0)
+def _packed(classes: DataFrame, kind: str) -> DataFrame:
+    """node and base: the components as bytes of a numpy type."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if not len(batch):
-                continue
-            v = np.stack(batch["v"].to_numpy())
-            extra = np.sqrt(np.maximum(norm2 - (v * v).sum(axis=1), 0.0))
-            # the added component may be long: several equal ones share it
-            parts = max(1, int(np.ceil((np.sqrt(norm2) / scale) ** 2)))
-            extra = np.repeat((extra / np.sqrt(parts))[:, None], parts if (extra > 1e-6 * np.sqrt(norm2)).any() else 0, axis=1)
-            wide = np.zeros((len(v), v.shape[1] + parts))
-            wide[:, : v.shape[1]] = v
-            asked = np.rint(wide * 127 / scale).astype(np.int8)
-            if extra.shape[1]:
-                wide[:, v.shape[1] :] = extra
-            base = np.rint(np.clip(wide * 127 / scale, -127, 127)).astype(np.int8)
-            yield pd.DataFrame({"node": batch["node"], "base": [x.tobytes() for x in base], "query": [x.tobytes() for x in asked]})
+            yield pd.DataFrame({"node": batch["node"], "base": [np.asarray(v).astype(kind).tobytes() for v in batch["v"]]})
+
+    return classes.select("node", "v").mapInPandas(run, "node bigint, base binary")
 
-    return classes.select("node", "v").mapInPandas(run, "node bigint, base binary, query binary")
 
+def _matrix(data: list[bytes], kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(data), dtype=kind).reshape(len(data), -1).astype(np.float64)
 
-def _matrix(data: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(data), dtype=np.int8).reshape(len(data), -1).astype(np.float32)
+
+def _near(v: np.ndarray, w: np.ndarray, norm2: float | None) -> np.ndarray:
+    """Nearness of the rows of v to those of w, lengthened to the squared norm norm2; inner products where it is None."""
+    dot = v @ w.T
+    if norm2 is None:
+        return dot
+    a, b = (v * v).sum(axis=1)[:, None], (w * w).sum(axis=1)[None, :]
+    # the difference of the added components, without taking long ones from each other
+    both = np.sqrt(np.maximum(norm2 - a, 0.0)) + np.sqrt(np.maximum(norm2 - b, 0.0))
+    step = (a - b) / np.where(both > 0, both, 1.0)
+    return -(np.maximum(a + b - 2 * dot, 0.0) + step * step)
 
 
 # --- building ----------------------------------------------------------------------------------------------------------
 
 
-def _cells(nodes: DataFrame, count: int, cell: int, trees: int) -> DataFrame:
+def _cells(nodes: DataFrame, count: int, cell: int, trees: int, kind: str) -> DataFrame:
     """node, base, tree, code, part: each tree deals the nodes by the sides of its hyperplanes."""
     depth = max(0, int(np.ceil(np.log2(max(1, count) / cell))))
 
@@ -111,26 +112,47 @@ def _cells(nodes: DataFrame, count: int, cell: int, trees: int) -> DataFrame:
         for batch in batches:
             if not len(batch):
                 continue
-            v = _matrix(batch["base"].tolist())
+            v = _matrix(batch["base"].tolist(), kind)
             for tree in range(trees if depth else 1):
-                planes = np.random.default_rng([7, tree]).normal(size=(v.shape[1], max(1, depth))).astype(np.float32)
+                planes = np.random.default_rng([7, tree]).normal(size=(v.shape[1], max(1, depth)))
                 sides = (v @ planes > 0)[:, :depth].astype(np.int64)
                 code = (sides << np.arange(depth)).sum(axis=1) if depth else np.zeros(len(v), dtype=np.int64)
-                yield pd.DataFrame({"node": batch["node"], "base": batch["base"], "tree": tree, "code": code})
+                yield pd.DataFrame({"node": batch["node"], "tree": tree, "code": code})
 
-    dealt = nodes.select("node", "base").mapInPandas(run, "node bigint, base binary, tree int, code bigint")
+    dealt = materialize(nodes.select("node", "base").mapInPandas(run, "node bigint, tree int, code bigint"), "cells")
+    for turn in range(HALVINGS):
+        large = dealt.groupBy("tree", "code").count().where(F.col("count") > 2 * cell).select("tree", "code")
+        large = materialize(large, "large-cells")
+        if large.isEmpty():
+            break
+        whole = dealt.join(large, ["tree", "code"], "left_semi").join(nodes.select("node", "base"), "node")
+
+        def along(batches: Iterator[pd.DataFrame], turn: int = turn) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                if not len(batch):
+                    continue
+                v = _matrix(batch["base"].tolist(), kind)
+                planes = np.stack([np.random.default_rng([7, t, turn]).normal(size=v.shape[1]) for t in range(trees)])
+                yield batch[["node", "tree", "code"]].assign(x=np.einsum("ij,ij->i", v, planes[batch["tree"].to_numpy()]))
+
+        lines = materialize(whole.mapInPandas(along, "node bigint, tree int, code bigint, x double"), "lines")
+        middle = lines.groupBy("tree", "code").agg(F.percentile_approx("x", 0.5, 1000).alias("middle"))
+        halves = lines.join(middle, ["tree", "code"]).select("node", "tree", F.xxhash64("code", F.col("x") > F.col("middle")).alias("code"))
+        rest = dealt.join(large, ["tree", "code"], "left_anti").select("node", "tree", "code")
+        dealt = materialize(rest.union(halves), "cells")
     sizes = dealt.groupBy("tree", "code").count().withColumn("parts", F.ceil(F.col("count") / (2 * cell)))
     large = materialize(sizes.where("parts > 1").select("tree", "code", "parts"), "large-cells")
     dealt = dealt.join(large, ["tree", "code"], "left")
     part = F.pmod(F.xxhash64("node", "tree"), F.coalesce("parts", F.lit(1).cast("bigint")))
-    return dealt.select("node", "base", "tree", "code", part.alias("part"))
+    dealt = dealt.select("node", "tree", "code", part.alias("part"))
+    return dealt.join(nodes.select("node", "base"), "node").select("node", "base", "tree", "code", "part")
 
 
-def _cell_neighbours(names: np.ndarray, data: list[bytes], k: int) -> pd.DataFrame:
-    v = _matrix(data)
+def _cell_neighbours(names: np.ndarray, data: list[bytes], k: int, kind: str, norm2: float) -> pd.DataFrame:
+    v = _matrix(data, kind)
     out = []
     for at in range(0, len(v), 1024):
-        near = v[at : at + 1024] @ v.T
+        near = _near(v[at : at + 1024], v, norm2)
         near[np.arange(len(near)), np.arange(at, at + len(near))] = -np.inf
         kk = min(k, len(v) - 1)
         if kk < 1:
@@ -141,38 +163,39 @@ def _cell_neighbours(names: np.ndarray, data: list[bytes], k: int) -> pd.DataFra
     return pd.concat(out) if out else pd.DataFrame({"a": [], "b": [], "near": []})
 
 
-def _first_edges(nodes: DataFrame, count: int, degree: int, cell: int, trees: int, start: int) -> DataFrame:
+def _first_edges(nodes: DataFrame, count: int, degree: int, cell: int, trees: int, start: int, kind: str, norm2: float) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, names, data = None, [], []
         for batch in batches:
             for key, group in batch.groupby(["tree", "code", "part"], sort=False):
                 if key != at:
                     if names:
-                        yield _cell_neighbours(np.array(names), data, k)
+                        yield _cell_neighbours(np.array(names), data, k, kind, norm2)
                     at, names, data = key, [], []
                 names += group["node"].tolist()
                 data += group["base"].tolist()
         if names:
-            yield _cell_neighbours(np.array(names), data, k)
+            yield _cell_neighbours(np.array(names), data, k, kind, norm2)
 
     k = start if count > cell else degree
-    cells = _cells(nodes, count, cell, trees)
+    cells = _cells(nodes, count, cell, trees, kind)
     cells = cells.repartition("tree", "code", "part").sortWithinPartitions("tree", "code", "part")
-    edges = cells.mapInPandas(run, "a bigint, b bigint, near float").groupBy("a", "b").agg(F.max("near").alias("near"))
+    edges = cells.mapInPandas(run, "a bigint, b bigint, near double").groupBy("a", "b").agg(F.max("near").alias("near"))
     return _top(edges, "a", [F.desc("near"), F.col("b")], degree).withColumn("fresh", F.lit(True))
 
 
-_MEMBER = np.dtype([("name", ">i8"), ("least", ">i4"), ("fresh", "u1")])
+#: least is a double in decimal digits, which SQL can write.
+_MEMBER = np.dtype([("name", ">i8"), ("least", "S25"), ("fresh", "u1")])
 
 
-def _introduced(members: list[bytes], given: int) -> pd.DataFrame | None:
+def _introduced(members: list[bytes], given: int, kind: str = "i1", norm2: float | None = None) -> pd.DataFrame | None:
     """Of each center's packed members, pairs (a, b, near) with a fresh one that are nearer than a's farthest neighbour."""
     raw = np.frombuffer(b"".join(members), dtype=np.uint8).reshape(len(members), -1)
     head = np.ascontiguousarray(raw[:, : _MEMBER.itemsize]).view(_MEMBER).ravel()
-    v = np.ascontiguousarray(raw[:, _MEMBER.itemsize :]).view(np.int8).astype(np.float32)
-    near = v @ v.T
+    v = np.ascontiguousarray(raw[:, _MEMBER.itemsize :]).view(kind).astype(np.float64)
+    near = _near(v, v, norm2)
     fresh = head["fresh"].astype(bool)
-    fits = (near > head["least"].astype(np.float32)[:, None]) & (fresh[:, None] | fresh[None, :])
+    fits = (near > head["least"].astype(np.float64)[:, None]) & (fresh[:, None] | fresh[None, :])
     np.fill_diagonal(fits, False)
     if not fits.any():
         return None
@@ -185,7 +208,7 @@ def _introduced(members: list[bytes], given: int) -> pd.DataFrame | None:
     return pd.DataFrame({"a": names[rows], "b": names[best[rows, places]], "near": value[rows, places]})
 
 
-def _descend(edges: DataFrame, nodes: DataFrame, degree: int, part: int, given: int, turn: int) -> DataFrame:
+def _descend(edges: DataFrame, nodes: DataFrame, degree: int, part: int, given: int, turn: int, kind: str, norm2: float) -> DataFrame:
     """One round of NN-descent."""
     order = F.xxhash64("center", "member", F.lit(turn))
     ahead = edges.select(F.col("a").alias("center"), F.col("b").alias("member"), "fresh")
@@ -193,35 +216,35 @@ def _descend(edges: DataFrame, nodes: DataFrame, degree: int, part: int, given:
     members = _top(ahead, ["center", "fresh"], [order], part).union(_top(behind, ["center", "fresh"], [order], part))
     members = members.groupBy("center", "member").agg(F.max("fresh").alias("fresh"))
     least = edges.groupBy("a").agg(F.min("near").alias("least"), F.count("*").alias("n"))
-    least = least.select(F.col("a").alias("node"), F.when(F.col("n") < degree, F.lit(-2147483648)).otherwise(F.col("least").cast("int")).alias("least"))
-    facts = nodes.join(least, "node", "left").select(
-        F.col("node").alias("member"), F.coalesce("least", F.lit(-2147483648)).alias("least"), "base"
-    )
-    hexed = lambda c, width: F.unhex(F.lpad(F.hex(c), width, "0"))
-    wide = F.expr("case when least < 0 then least + 4294967296L else cast(least as bigint) end")
-    packed = members.join(facts, "member").select(
-        "center", "fresh", F.concat(hexed(F.col("member"), 16), hexed(wide, 8), F.when(F.col("fresh"), F.unhex(F.lit("01"))).otherwise(F.unhex(F.lit("00"))), "base").alias("x")
-    )
+    none = F.lit(float("-inf"))
+    least = least.select(F.col("a").alias("node"), F.when(F.col("n") < degree, none).otherwise(F.col("least")).alias("least"))
+    facts = nodes.join(least, "node", "left").select(F.col("node").alias("member"), F.coalesce("least", none).alias("least"), "base")
+    name = F.unhex(F.lpad(F.hex("member"), 16, "0"))
+    digits = F.encode(F.rpad(F.col("least").cast("string"), 25, " "), "UTF-8")
+    flag = F.when(F.col("fresh"), F.unhex(F.lit("01"))).otherwise(F.unhex(F.lit("00")))
+    packed = members.join(facts, "member").select("center", "fresh", F.concat(name, digits, flag, "base").alias("x"))
     groups = packed.groupBy("center").agg(F.collect_list("x").alias("xs"), F.max("fresh").alias("any")).where("any").select("xs")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [x for x in (_introduced(list(xs), given) for xs in batch["xs"] if len(xs) > 1) if x is not None]
+            found = [x for x in (_introduced(list(xs), given, kind, norm2) for xs in batch["xs"] if len(xs) > 1) if x is not None]
             if found:
                 yield pd.concat(found).drop_duplicates(["a", "b"])
 
-    offered = groups.mapInPandas(run, "a bigint, b bigint, near float").withColumn("fresh", F.lit(True))
+    offered = groups.mapInPandas(run, "a bigint, b bigint, near double").withColumn("fresh", F.lit(True))
     both = edges.withColumn("fresh", F.lit(False)).unionByName(offered).groupBy("a", "b")
     both = both.agg(F.max("near").alias("near"), F.min("fresh").alias("fresh"))
     return _top(both, "a", [F.desc("near"), F.col("b")], degree)
 
 
-def build_graph(nodes: DataFrame, degree: int = DEGREE, cell: int = CELL, trees: int = TREES, rounds: int = BUILD_ROUNDS) -> DataFrame:
-    """Edges (a, b, near): the neighbours that each node lists. nodes: node, base."""
+def build_graph(
+    nodes: DataFrame, kind: str, norm2: float, degree: int = DEGREE, cell: int = CELL, trees: int = TREES, rounds: int = BUILD_ROUNDS
+) -> DataFrame:
+    """Edges (a, b, near): the neighbours that each node lists. nodes: node, base (of numpy type kind); norm2: the greatest squared norm."""
     count = nodes.count()
-    edges = materialize(_first_edges(nodes, count, degree, cell, trees, START), "graph")
+    edges = materialize(_first_edges(nodes, count, degree, cell, trees, START, kind, norm2), "graph")
     for turn in range(rounds if count > cell else 0):
-        edges = materialize(_descend(edges, nodes, degree, PART, GIVEN, turn), "graph")
+        edges = materialize(_descend(edges, nodes, degree, PART, GIVEN, turn, kind, norm2), "graph")
         changed = edges.where("fresh").count()
         if changed <= CHANGED * count * degree:
             break
@@ -231,26 +254,25 @@ def build_graph(nodes: DataFrame, degree: int = DEGREE, cell: int = CELL, trees:
 # --- search ------------------------------------------------------------------------------------------------------------
 
 
-@F.pandas_udf(FloatType())
-def _nearness(left: pd.Series, right: pd.Series) -> pd.Series:
-    if not len(left):
-        return pd.Series([], dtype=np.float32)
-    return pd.Series(np.einsum("ij,ij->i", _matrix(left.tolist()), _matrix(right.tolist())))
-
-
 def search_graph(
-    edges: DataFrame, nodes: DataFrame, queries: DataFrame, entries: list[int], beam: int = BEAM, expand: int = EXPAND, rounds: int = SEARCH_ROUNDS
+    edges: DataFrame, nodes: DataFrame, queries: DataFrame, entries: list[int], kind: str, beam: int = BEAM, expand: int = EXPAND, rounds: int = SEARCH_ROUNDS
 ) -> DataFrame:
     """q, node, near: the beam of each query (one column q, names of nodes) after the greedy search.
 
     Every search starts at the query's own node, its neighbours and the entries (a few nodes)."""
     bases = nodes.select("node", "base")
-    asked = nodes.select(F.col("node").alias("q"), "query").join(queries, "q", "left_semi")
+    asked = nodes.select(F.col("node").alias("q"), F.col("base").alias("query")).join(queries, "q", "left_semi")
     lists = edges.select(F.col("a").alias("at"), F.col("b").alias("node"))
 
+    @F.pandas_udf(DoubleType())
+    def nearness(left: pd.Series, right: pd.Series) -> pd.Series:
+        if not len(left):
+            return pd.Series([], dtype=np.float64)
+        return pd.Series(np.einsum("ij,ij->i", _matrix(left.tolist(), kind), _matrix(right.tolist(), kind)))
+
     def scored(pairs: DataFrame) -> DataFrame:
         rows = pairs.join(bases, "node").join(asked, "q")
-        return rows.select("q", "node", _nearness("query", "base").alias("near")).withColumn("done", F.lit(False))
+        return rows.select("q", "node", nearness("query", "base").alias("near")).withColumn("done", F.lit(False))
 
     starts = F.array(F.col("q"), *(F.lit(e).cast("bigint") for e in entries))
     own = queries.select("q", F.explode(F.array_distinct(starts)).alias("node"))
@@ -275,13 +297,19 @@ def nearest(
     """query_id, rank, vec_id and score: the k nearest found of each row for which is_query (a condition on `id`) holds."""
     rows = materialize(_valid(vectors, id_col, vector_col), "vectors")
     classes = materialize(_classes(rows, k + 1), "vector-classes")
-    nodes = materialize(_packed(classes), "packed-vectors")
-    edges = build_graph(nodes, degree, cell)
+    kind = "<f4" if isinstance(getattr(vectors.schema[vector_col].dataType, "elementType", None), FloatType) else "<f8"
+    nodes = materialize(_packed(classes, kind), "packed-vectors")
+    norm2 = float(classes.agg(F.max(_norm2(F.col("v")))).first()[0] or 1.0)
+    edges = build_graph(nodes, kind, norm2, degree, cell)
     asking = rows.where(is_query).distinct().join(classes.select("v", F.col("node").alias("q")), "v").select("id", "q")
     asking = materialize(asking, "asking")
     entries = [r["node"] for r in classes.orderBy(F.desc(_norm2(F.col("v"))), "node").limit(ENTRIES).select("node").collect()]
-    beams = search_graph(edges, nodes, asking.select("q").distinct(), entries)
-    pairs = _top(beams, "q", [F.desc("near"), F.col("node")], max(rescored, k + 1)).select("q", "node")
+    beams = search_graph(edges, nodes, asking.select("q").distinct(), entries, kind)
+    # besides the best, all that rounding may have put behind the last of those that count
+    place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("near"), "node"))
+    last = F.min(F.when(F.col("place") <= k + 1, F.col("near"))).over(Window.partitionBy("q"))
+    placed = beams.withColumn("place", place).withColumn("last", last)
+    pairs = placed.where((F.col("place") <= max(rescored, k + 1)) | (F.col("near") >= F.col("last") - ROUNDING * norm2)).select("q", "node")
     dot = F.aggregate(F.zip_with("v", "w", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
     scored = pairs.join(classes, "node").join(classes.select(F.col("node").alias("q"), F.col("v").alias("w")), "q")
     scored = scored.select("q", dot.alias("score"), F.explode("ids").alias("vec_id"))

@@ -73,3 +73,43 @@ def test_large_cells_are_dealt(spark, cell):
     rows = [(i, (center + 1e-3 * rng.normal(size=8)).astype(np.float32).tolist()) for i in range(400)]
     got, want = found(frame_of(spark, rows), cell=cell), brute(rows, 20)
     assert got.keys() == want.keys() and all(len(x) == 20 for x in got.values())
+
+
+def recall(frame, rows, **more):
+    """The least recall of a query; other vectors with the score of the last wanted count as well."""
+    ids, v = np.array([i for i, _ in rows]), np.array([x for _, x in rows], dtype=np.float32).astype(np.float64)
+    got, share = found(frame, **more), []
+    for q in np.flatnonzero(ids % 20 == 0):
+        score = v @ v[q]
+        score[q] = -np.inf
+        last = np.sort(score)[-20]
+        at = {int(i): x for i, x in zip(ids, score, strict=True)}
+        share.append(np.mean([at[i] >= last - 1e-14 * abs(last) for i, _ in got[int(ids[q])]]))
+        assert len(got[int(ids[q])]) == 20
+    return np.array(share)
+
+
+def spread(seed, n, noise):
+    rng = np.random.default_rng(seed)
+    v = rng.normal(size=(n, 16))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    v[: n // 3] = v[0] + noise * rng.normal(size=(n // 3, 16))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    return rng.permutation(v)
+
+
+def vectors_of(spark, v):
+    rows = [(i, x.astype(np.float32).tolist()) for i, x in enumerate(v)]
+    return frame_of(spark, rows), rows
+
+
+def test_recall_in_a_tight_group(spark):
+    share = recall(*vectors_of(spark, spread(5, 3000, 1e-3)), cell=128)
+    assert share.mean() >= 0.95 and np.mean(share >= 0.9) >= 0.95
+
+
+def test_recall_with_one_long_row(spark):
+    v = spread(6, 3000, 1e-2)
+    v[1] *= 1000
+    share = recall(*vectors_of(spark, v), cell=128)
+    assert share.mean() >= 0.95 and np.mean(share >= 0.9) >= 0.95
