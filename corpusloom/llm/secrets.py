@@ -3,9 +3,9 @@
 Positions come from splitting a text at a pattern: pieces and matches alternate, so running lengths give offsets in code
 points. Base spans (assign, access, hex) are always reported. Weak candidates (weak_id: account or key identifiers too weak
 alone, weak_secret: short assigned values and long mixed strings, endpoint: urls) are reported only when complementary parts
-co-occur in their scope, SCOPE code points between starts: an identifier needs a secret, a secret needs an identifier or an
-endpoint, an endpoint needs both. Base spans count as parts. The interval join is an equi-join on row and scope bin, each
-part standing in its own and both neighbouring bins, as a semi-join: it never makes pairs.
+co-occur in their scope, at most SCOPE code points from the end of one to the start of the other: an identifier needs a
+secret, a secret needs an identifier or an endpoint, an endpoint needs both. Base spans count as parts. The interval join is an equi-join on row and scope bin, each
+part standing in the bins that it covers and both neighbouring ones, as a semi-join: it never makes pairs.
 
 Defined results: a null text counts as empty and has no span; repeated rows are scanned one by one; extra columns may clash
 with no working column, since each input row is packed in one struct. Work in a row grows with text length plus the square
@@ -90,24 +90,31 @@ def _without_covered(spans: Column) -> Column:
 def _linked(found: DataFrame, scope: int) -> DataFrame:
     """row, spans: the weak spans with complementary parts in scope, of the rows that have any."""
     parts = found.where(F.exists("spans", lambda x: x["k"] >= BASE)).select("row", F.explode("spans").alias("x"))
-    parts = parts.select("row", "x.s", "x.k", "x.e", F.expr(f"s div {scope}").alias("bin"))
+    parts = parts.select("row", "x.s", "x.k", "x.e")
+    covered = F.explode(F.sequence(F.expr(f"s div {scope}"), F.expr(f"e div {scope}"))).alias("bin")
+    weak = parts.where(f"k >= {BASE}").select("row", "s", "k", "e", covered)
 
     def near(kinds: tuple[int, ...], name: str) -> DataFrame:
-        around = F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)).alias("bin")
-        return parts.where(F.col("k").isin(*kinds)).select(F.col("row").alias(f"{name}_row"), F.col("s").alias(f"{name}_s"), around)
+        around = F.explode(F.sequence(F.expr(f"s div {scope} - 1"), F.expr(f"e div {scope} + 1"))).alias("bin")
+        return parts.where(F.col("k").isin(*kinds)).select(*(F.col(c).alias(f"{name}_{c}") for c in ("row", "s", "e")), around)
 
     def with_near(rows: DataFrame, other: DataFrame, name: str) -> DataFrame:
         other = other.withColumnRenamed("bin", f"{name}_bin")
         on = (F.col("row") == F.col(f"{name}_row")) & (F.col("bin") == F.col(f"{name}_bin"))
-        return rows.join(other, on & (F.abs(F.col("s") - F.col(f"{name}_s")) <= scope), "left_semi")
+        gap = F.greatest("s", f"{name}_s") - F.least("e", f"{name}_e")
+        return rows.join(other, on & (gap <= scope), "left_semi")
 
     ids, keys, ends = near((1, 3), "i"), near((0, 2, 4), "k"), near((5,), "p")
-    partner = ids.select(F.col("i_row").alias("p_row"), F.col("i_s").alias("p_s"), "bin").unionByName(ends)
+    partner = ids.toDF("p_row", "p_s", "p_e", "bin").unionByName(ends)
+    # a long endpoint may meet its identifier in one bin and its secret in another
+    endpoints = with_near(weak.where("k = 5"), ids, "i").select("row", "s", "k", "e").distinct()
+    endpoints = endpoints.select("row", "s", "k", "e", covered)
     kept = (
-        with_near(parts.where("k = 3"), keys, "k")
-        .unionByName(with_near(parts.where("k = 4"), partner, "p"))
-        .unionByName(with_near(with_near(parts.where("k = 5"), ids, "i"), keys, "k"))
+        with_near(weak.where("k = 3"), keys, "k")
+        .unionByName(with_near(weak.where("k = 4"), partner, "p"))
+        .unionByName(with_near(endpoints, keys, "k"))
     )
+    kept = kept.select("row", "s", "k", "e").distinct()
     return kept.groupBy("row").agg(F.collect_list(F.struct("s", "k", "e")).alias("weak"))
 
 

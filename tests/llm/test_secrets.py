@@ -56,3 +56,12 @@ def test_repeated_rows_and_empty(spark):
     twice = spark.createDataFrame([(1, TEXTS[3]), (1, TEXTS[3]), (None, "x")], "doc_id long, text string")
     assert S.secret_digest(S.scan_secrets(twice)).count() == 3
     assert S.secret_digest(S.scan_secrets(frame(spark, []))).count() == 0
+
+
+def test_weak_parts_beside_long_ones(spark):
+    token = "session_token=" + "a1B2" * 150
+    url = "https://db.example.com/" + "p/" * 300
+    texts = [f"{token} user_id=bob77", f"user_id=bob77 {token}", f"{token} {'z ' * 110}user_id=bob77", f"user_id=bob77 {url} password=short12"]
+    got = {r.doc_id: r.spans for r in S.secret_digest(S.scan_secrets(frame(spark, texts))).collect()}
+    assert "weak_id" in got[0] and "weak_id" in got[1] and "weak_id" not in got[2]
+    assert "weak_secret" in got[3] and "endpoint" in got[3] and "weak_id" not in got[3]  # no secret near the identifier
