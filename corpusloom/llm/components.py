@@ -9,7 +9,8 @@ from .common import materialize
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """node, component (its least node) of every node of edges (a, b); each round is written to the shared folder.
+    """node, component (its least node) of every node of edges (a, b); each round is written to the shared folder;
+    raises where max_rounds end before two rounds agree.
 
     A large-star step links every greater neighbour of a node to its least neighbour, a small-star step every smaller one;
     rows never exceed the edges, and the number of rounds grows with the logarithm of the longest path.
@@ -29,6 +30,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if mark == before:
             break
         before = mark
+    else:
+        raise RuntimeError(f"components have not settled in {max_rounds} rounds")
     least = edges.groupBy("a").agg(F.min("b").alias("b"))
     nodes = least.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return nodes.union(least.select("b", "b").distinct().toDF("node", "component"))

@@ -98,3 +98,9 @@ def test_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001)], "a bigint, b bigint")
     got = {r.node: r.component for r in connected_components(edges).collect()}
     assert got == {i: 0 for i in range(301)} | {1000: 1000, 1001: 1000}
+
+
+def test_components_that_do_not_settle_raise(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(50)], "a bigint, b bigint")
+    with pytest.raises(RuntimeError):
+        connected_components(edges, max_rounds=1)
