@@ -3,12 +3,13 @@
 A text is cut in words by the pattern. A word's bytes are an array of pieces, and the leftmost of the lowest-ranked adjacent
 pairs is merged until none has a rank; a text's ids are those of its words' pieces. Decoding concatenates the pieces of ids.
 
-The merges of frequent distinct words are folded by Spark higher-order functions over a literal rank map (cut in buckets, an
-array of small maps, since Spark looks a map up one entry at a time), and the words with their ids are broadcast: at most
-HEAD_WORDS words, the most frequent of about SAMPLE_DOCS documents chosen by a hash of the id. The fold takes some 0.1 ms a
-word, too long for all distinct words of a corpus, whose number grows with it; a word that is not among the frequent ones
-is folded where it stands by the same rule in Python (long words with a heap) and kept in a bounded cache. Which words are
-frequent changes the time only, never a result.
+The distinct words of a block of documents are folded by Spark higher-order functions over a literal rank map. A block is what
+one task reads until BLOCK_WORDS distinct words or BLOCK_CODES words in all are held; its documents become numbers of its
+words. Words and numbers then go on in one stream, words first: the fold runs on the words' rows in the JVM, and the numbers
+are replaced by the ids that came before them in the same task. Nothing is joined or broadcast but the vocabulary, nothing
+shuffled (but a table of fewer splits than cores), and no word is sampled or left out. The rank map is an array with a place for each pair of pieces that merges, found by a
+hash without collisions, since Spark looks a map up one entry at a time. A fold takes time with the square of the word's
+length, so words of over LONG_WORD bytes are merged where they are cut, by a heap over linked pieces, with the same ids.
 
 Defined results: a null text counts as empty (no id; the digests are those of empty bytes); special strings are ordinary
 text; repeated rows are encoded one by one; other columns take no part.
@@ -20,7 +21,9 @@ import base64
 import hashlib
 import heapq
 import json
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -31,129 +34,172 @@ from pyspark.sql import functions as F
 
 from .common import kept
 
-NONE = 2147483647
-RANK_BUCKETS = 1 << 14
-HEAD_WORDS = 50_000
-SAMPLE_DOCS = 10_000
-CACHE_WORDS = 400_000
-#: Bytes from which a word is merged with a heap.
-LONG_WORD = 100
-#: White space as the pattern means it, which Java's own class is not.
-SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+BLOCK_WORDS = 1 << 20
+BLOCK_CODES = 1 << 24
+SPLITS = 3
+#: Words of a row of the stream, and bytes from which a word is merged by a heap.
+ROW_WORDS = 512
+LONG_WORD = 512
+#: Widths in bits of a piece's id and of a rank (its greatest value: no rank); a byte's place takes what LONG_WORD needs.
+ID_BITS, RANK_BITS, PLACE_BITS = 18, 19, 10
+NO_RANK = (1 << RANK_BITS) - 1
 
 
+@lru_cache(maxsize=4)
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as f:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-def _let(value: Column, then) -> Column:
+# --- the fold in higher-order functions --------------------------------------------------------------------------------
+
+
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
     """then(value), with value computed once."""
     return F.get(F.transform(F.array(value), then), 0)
 
 
-class Ranks:
-    def __init__(self, ranks: dict[bytes, int], buckets: int = RANK_BUCKETS):
-        """Each piece goes to the bucket that Spark's xxhash64 (XXH64 of the letters' UTF-8 with seed 42) names."""
-        self.buckets = buckets
-        table: list[dict[str, int]] = [{} for _ in range(buckets)]
+def _long(value: int) -> Column:
+    return F.lit(value).cast("bigint")
+
+
+def _ones(bits: int) -> Column:
+    return _long((1 << bits) - 1)
+
+
+class PairRanks:
+    """The rank that two adjacent pieces merge to, as a literal that Spark reads at one place.
+
+    A pair's 64-bit hash names a bucket by its upper bits and a place by lower ones; the bucket's shift, found here by trying,
+    moves its pairs to places of their own (hash and displace).
+    """
+
+    def __init__(self, ranks: dict[bytes, int]):
+        if max(ranks.values(), default=0) >= 1 << ID_BITS:
+            raise ValueError(f"more than {1 << ID_BITS} pieces")
+        pairs = {}
         for piece, rank in ranks.items():
-            name = piece.decode("latin-1")
-            signed = np.uint64(xxhash.xxh64_intdigest(name.encode(), 42)).astype(np.int64)
-            table[int(signed) % buckets][name] = rank
-        self.literal = F.from_json(F.lit(json.dumps(table)), "array<map<string,int>>")
-
-    def of(self, table: Column, piece: Column) -> Column:
-        """A piece's rank, NONE if it has none. table: the literal, or what stands for it in a higher-order function."""
-        bucket = F.pmod(F.xxhash64(piece), F.lit(self.buckets).cast("bigint")).cast("int")
-        return F.coalesce(F.get(table, bucket)[piece], F.lit(NONE))
-
-
-def fold_ids(pieces: Column, ranks: Ranks) -> Column:
-    """The ids of a word's pieces after all merges. The literal stands once in the expression, however often it is used."""
-    return _let(ranks.literal, lambda table: F.transform(_fold(pieces, lambda x: ranks.of(table, x)), lambda x: ranks.of(table, x)))
-
-
-def _fold(pieces: Column, rank) -> Column:
-    def merge(p: Column, r: Column, i: Column) -> Column:
-        joined = F.concat(F.get(p, i), F.get(p, i + 1))
-        size = F.size(p)
-
-        def put(q: Column) -> Column:
-            before = F.when(i > 0, rank(F.concat(F.get(p, i - 1), q)))
-            after = F.when(i + 2 < size, rank(F.concat(q, F.get(p, i + 2)))).otherwise(F.lit(NONE))
-            own = F.when(i > 0, F.concat(F.slice(r, F.lit(1), i - 1), F.array(before, after))).otherwise(F.array(after))
-            return F.struct(
-                F.concat(F.slice(p, F.lit(1), i), F.array(q), F.slice(p, i + 3, size)).alias("p"),
-                F.concat(own, F.slice(r, i + 3, size)).alias("r"),
-            )
-
-        return _let(joined, put)
-
-    def step(acc: Column, _: Column) -> Column:
-        least = F.array_min(acc["r"])
-        place = (F.array_position(acc["r"], least) - 1).cast("int")
-        return F.when(least == NONE, acc).otherwise(_let(place, lambda i: merge(acc["p"], acc["r"], i)))
-
-    size = F.size(pieces)
-    first = F.transform(pieces, lambda x, i: F.when(i + 1 < size, rank(F.concat(x, F.get(pieces, i + 1)))).otherwise(F.lit(NONE)))
-    start = F.struct(pieces.alias("p"), first.alias("r"))
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1))), start, step, lambda acc: acc["p"])
-
-
-def word_bytes(word: Column) -> Column:
-    """The bytes of a word as an array of one-letter pieces."""
-    return F.regexp_extract_all(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), F.lit("(?s)."), F.lit(0))
-
-
-def java_pattern(pattern: str) -> str:
-    """The pattern with its white space spelt out."""
-    return pattern.replace(r"[^\s", f"[^{SPACE}").replace(r"\s", f"[{SPACE}]").replace(r"\S", f"[^{SPACE}]")
-
-
-def frequent_words(
-    docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str, text_col: str, head_words: int = HEAD_WORDS, sample_docs: int = SAMPLE_DOCS
-) -> dict[str, list[int]]:
-    """ids of the most frequent words (LONG_WORD letters at most) of a sample, by the higher-order fold."""
-    count = docs.count()
-    turn = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30).cast("bigint"))
-    some = docs.where(turn < int((1 << 30) * min(1.0, sample_docs / max(1, count))))
-    words = some.select(F.explode(F.regexp_extract_all(F.col(text_col), F.lit(java_pattern(pattern)), F.lit(0))).alias("word"))
-    words = words.where((F.octet_length("word") <= LONG_WORD) & (F.octet_length("word") > 0)).groupBy("word").count()
-    words = words.orderBy(F.desc("count"), "word").limit(head_words).select("word")
-    words = words.repartition(docs.sparkSession.sparkContext.defaultParallelism)
-    pieces = words.select("word", word_bytes(F.col("word")).alias("p"))
-    found = pieces.select("word", fold_ids(F.col("p"), Ranks(ranks)).alias("ids")).toPandas()
-    return dict(zip(found["word"].tolist(), map(list, found["ids"].tolist()), strict=True))
-
-
-def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """ids of a word by ranked merges."""
-    whole = ranks.get(word)
-    if whole is not None:
-        return [whole]
-    if len(word) > LONG_WORD:
-        return _merge_long(word, ranks)
-    get = ranks.get
-    pieces = [word[i : i + 1] for i in range(len(word))]
-    pairs = [get(word[i : i + 2], NONE) for i in range(len(word) - 1)]
-    while pairs:
-        least = min(pairs)
-        if least == NONE:
-            break
-        i = pairs.index(least)
-        joined = pieces[i] + pieces[i + 1]
-        pieces[i : i + 2] = [joined]
-        del pairs[i]
-        if i < len(pairs):
-            pairs[i] = get(joined + pieces[i + 1], NONE)
-        if i:
-            pairs[i - 1] = get(pieces[i - 1] + joined, NONE)
-    return [ranks[p] for p in pieces]
-
-
-def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The same with a heap over a linked list: n log n."""
+            for cut in range(1, len(piece)):
+                left, right = ranks.get(piece[:cut]), ranks.get(piece[cut:])
+                if left is not None and right is not None:
+                    pairs[left << ID_BITS | right] = rank
+        self.place_bits = max(4, (2 * len(pairs)).bit_length())
+        self.bucket_bits = max(2, self.place_bits - 2)
+        shifts, slots = self._displace(np.array(list(pairs), dtype=np.uint64))
+        places = np.full(1 << self.place_bits, -1, dtype=np.int64)
+        places[slots] = np.fromiter((k << RANK_BITS | r for k, r in pairs.items()), np.int64, len(pairs))
+        tables = {"s": shifts.tolist(), "p": places.tolist(), "b": [ranks.get(bytes([i]), -1) for i in range(256)]}
+        self.literal = F.from_json(F.lit(json.dumps(tables)), "struct<s:array<int>,p:array<bigint>,b:array<bigint>>")
+
+    def _displace(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Shifts by bucket and places by key; another turn of the hash where two keys share bucket and place."""
+        for self.turn in range(1 << 10):
+            salted = (int(k) | self.turn << 2 * ID_BITS for k in keys)
+            hashed = np.array([xxhash.xxh64_intdigest(k.to_bytes(8, "little"), 42) for k in salted], dtype=np.uint64)  # Spark's xxhash64
+            bucket = (hashed >> np.uint64(64 - self.bucket_bits)).astype(np.int64)
+            place = (hashed & np.uint64((1 << self.place_bits) - 1)).astype(np.int64)
+            if len(np.unique(bucket << self.place_bits | place)) == len(keys):
+                break
+        order = np.argsort(bucket, kind="stable")
+        groups = np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(keys) else []
+        shifts, used, rng = np.zeros(1 << self.bucket_bits, np.int64), np.zeros(1 << self.place_bits, bool), np.random.default_rng(1)
+        for group in sorted(groups, key=len, reverse=True):
+            shift = 0
+            while used[place[group] ^ shift].any():
+                shift = int(rng.integers(1 << self.place_bits))
+            place[group] ^= shift
+            used[place[group]] = True
+            shifts[bucket[group[0]]] = shift
+        return shifts, place
+
+    def of(self, table: Column, left: Column, right: Column) -> Column:
+        """The rank of two pieces, NO_RANK if they don't merge. table: the literal, or what stands for it in a lambda."""
+
+        def look(pair: Column) -> Column:
+            hashed = F.xxhash64(pair.bitwiseOR(_long(self.turn << 2 * ID_BITS)))
+            shift = F.get(table["s"], F.shiftrightunsigned(hashed, 64 - self.bucket_bits).cast("int"))
+            place = hashed.bitwiseAND(_ones(self.place_bits)).cast("int").bitwiseXOR(shift)
+            found = lambda x: F.when(F.shiftright(x, RANK_BITS) == pair, x.bitwiseAND(_ones(RANK_BITS))).otherwise(_long(NO_RANK))
+            return _let(F.get(table["p"], place), found)
+
+        return _let(F.shiftleft(left, ID_BITS).bitwiseOR(right), look)
+
+
+def fold_ids(word: Column, pairs: PairRanks, table: Column | None = None) -> Column:
+    """The ids of a word (of LONG_WORD bytes at most) after all merges.
+
+    An element of the folded array is a piece: the rank of its pair with the next one, the place of its first byte and its id,
+    from the upper bits down, so the least element is the leftmost of the lowest-ranked pairs. A step puts that pair's piece
+    in place of its first half, ranks it with both neighbours and takes the second half out.
+    """
+    if table is None:
+        return _let(pairs.literal, lambda t: fold_ids(word, pairs, t))
+    rank_at, low = ID_BITS + PLACE_BITS, _ones(ID_BITS)
+    none = _long(NO_RANK << rank_at)
+    ranked = lambda left, right: F.shiftleft(pairs.of(table, left, right), rank_at)
+    letters = F.regexp_extract_all(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), F.lit("(?s)."), F.lit(0))
+
+    def step(pieces: Column, _: Column) -> Column:
+        def merge(least: Column) -> Column:
+            new = F.shiftright(least, rank_at)
+
+            def put(at: Column) -> Column:
+                def each(piece: Column, i: Column) -> Column:
+                    after = F.when(at + 2 < F.size(pieces), ranked(new, F.get(pieces, at + 2).bitwiseAND(low))).otherwise(none)
+                    first = after.bitwiseOR(least.bitwiseAND(_long(((1 << PLACE_BITS) - 1) << ID_BITS))).bitwiseOR(new)
+                    before = ranked(piece.bitwiseAND(low), new).bitwiseOR(piece.bitwiseAND(_ones(rank_at)))
+                    away = i - at
+                    return F.when(F.abs(away) > 1, piece).when(away == 0, first).when(away == -1, before).otherwise(_long(-1))
+
+                return F.filter(F.transform(pieces, each), lambda x: x >= 0)
+
+            return F.when(least >= none, pieces).otherwise(_let(F.array_position(pieces, least).cast("int") - 1, put))
+
+        return _let(F.array_min(pieces), merge)
+
+    def folded(ids: Column) -> Column:
+        def ranked_with_next(x: Column, i: Column) -> Column:
+            rank = F.when(i + 1 < F.size(ids), ranked(x, F.get(ids, i + 1))).otherwise(none)
+            return rank.bitwiseOR(F.shiftleft(i.cast("bigint"), ID_BITS)).bitwiseOR(x)
+
+        done = F.aggregate(F.slice(ids, F.lit(2), F.size(ids)), F.transform(ids, ranked_with_next), step)
+        return F.transform(done, lambda x: x.bitwiseAND(low).cast("int"))
+
+    return _let(F.transform(letters, lambda c: F.get(table["b"], F.ascii(c))), folded)
+
+
+# --- cutting texts -----------------------------------------------------------------------------------------------------
+
+
+def latin_pattern(pattern: str) -> str:
+    """The pattern for texts of the first 256 characters, with its character properties spelt out as Python's re needs them."""
+    chars = "".join(map(chr, range(256)))
+    spelt = lambda p: "".join(f"\\x{ord(m[0]):02x}-\\x{ord(m[-1]):02x}" for m in regex.findall(f"(?:{p})+", chars))
+    out, inside = [], False
+    for part in re.findall(r"\\[pP]\{\w+\}|\\.|.", pattern, re.DOTALL):
+        if re.fullmatch(r"\\(?:[pP]\{\w+\}|[sSdDwW])", part):
+            part = spelt(part) if inside else f"[{spelt(part)}]"
+        inside = (inside or part == "[") and part != "]"
+        out.append(part)
+    return "".join(out)
+
+
+def word_cutter(pattern: str) -> Callable[[str], list[str]]:
+    """The pattern's matches in a text; texts of the first 256 characters go to re, which is faster, the others to regex."""
+    narrow, wide = re.compile(latin_pattern(pattern)).findall, regex.compile(pattern).findall
+
+    def cut(text: str) -> list[str]:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return wide(text)
+        return narrow(text)
+
+    return cut
+
+
+def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """ids of a word by ranked merges, with a heap over linked pieces: n log n."""
     n = len(word)
     ends, before, after = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
     heap = [(rank, i, i + 2) for i in range(n - 1) if (rank := ranks.get(word[i : i + 2])) is not None]
@@ -180,86 +226,157 @@ def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-class Codec(dict):
-    """word -> its ids as little-endian unsigned 32-bit integers; a missing word is merged and kept for a while."""
+class Numbers(dict):
+    """word -> its number in a block: from 0 for those to fold, from -1 down for those whose ids are known where they are cut
+    (pieces as a whole, and long words)."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, head: dict[str, list[int]], cache_words: int = CACHE_WORDS):
+    def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
-        self.ranks, self.head, self.cache_words = ranks, {w: np.array(ids, "<u4").tobytes() for w, ids in head.items()}, cache_words
-        self.words = regex.compile(pattern).findall
-        self.pieces = [b""] * (1 + max(ranks.values(), default=-1))
-        for piece, rank in ranks.items():
-            self.pieces[rank] = piece
-        self.update(self.head)
+        self.ranks, self.words, self.known = ranks, [], []
+
+    def __missing__(self, word: str) -> int:
+        data = word.encode("utf-8", "surrogatepass")
+        rank = self.ranks.get(data)
+        if rank is None and len(data) <= LONG_WORD:
+            self.words.append(word)
+            number = len(self.words) - 1
+        else:
+            self.known.append(np.array([rank] if rank is not None else merge_long(data, self.ranks), "<u4").tobytes())
+            number = -len(self.known)
+        self[word] = number
+        return number
+
+
+# --- the stream of blocks ----------------------------------------------------------------------------------------------
+
+#: What a row of the stream holds: words to fold, the ids of one known word, or a document's word numbers.
+_WORDS, _KNOWN, _DOCUMENT = 0, 1, 2
+_STREAM = ["kind", "id", "data", "words"]
+
+
+def _blocks(batches: Iterator[pd.DataFrame], cut, ranks: dict[bytes, int], block_words: int, block_codes: int) -> Iterator[pd.DataFrame]:
+    numbers, ids, documents, total = Numbers(ranks), [], [], 0
+
+    def flush() -> Iterator[pd.DataFrame]:
+        words = [numbers.words[at : at + ROW_WORDS] for at in range(0, len(numbers.words), ROW_WORDS)]
+        for at in range(0, len(words), 64):
+            yield pd.DataFrame([(_WORDS, None, None, w) for w in words[at : at + 64]], columns=_STREAM)
+        for at in range(0, len(numbers.known), 4096):
+            yield pd.DataFrame([(_KNOWN, None, x, None) for x in numbers.known[at : at + 4096]], columns=_STREAM)
+        for at in range(0, len(ids), 1024):
+            yield pd.DataFrame([(_DOCUMENT, i, d, None) for i, d in zip(ids[at : at + 1024], documents[at : at + 1024], strict=True)], columns=_STREAM)
+
+    for batch in batches:
+        for name, text in zip(batch["id"].tolist(), batch["text"], strict=True):
+            codes = np.array(list(map(numbers.__getitem__, cut(text))) if text else [], "<i4")
+            ids.append(name), documents.append(codes.tobytes())
+            total += len(codes)
+            if len(numbers) >= block_words or total >= block_codes:
+                yield from flush()
+                numbers, ids, documents, total = Numbers(ranks), [], [], 0
+    yield from flush()
+
+
+def _encoded(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[bytes]]]:
+    """ids of documents and their token ids as bytes, from a stream whose words are folded."""
+    folded: list[bytes] = []
+    known: list[bytes] = []
+    table: list[bytes] = []
+    for batch in batches:
+        kinds = batch["kind"].to_numpy()
+        cuts = [0, *(np.flatnonzero(kinds[1:] != kinds[:-1]) + 1).tolist(), len(kinds)]
+        for s, e in zip(cuts, cuts[1:], strict=False):
+            if s == e:
+                continue
+            some, kind = batch[s:e], kinds[s]
+            if kind != _DOCUMENT and table:
+                folded, known, table = [], [], []
+            if kind == _WORDS:
+                for found in some["found"]:
+                    data, ends = np.asarray(found["ids"], "<u4").tobytes(), (4 * np.cumsum(found["sizes"])).tolist()
+                    folded += [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+            elif kind == _KNOWN:
+                known += some["data"].tolist()
+            else:
+                table = table or folded + known[::-1] or [b""]
+                get = table.__getitem__
+                for at in range(0, len(some), 512):
+                    part = some[at : at + 512]
+                    yield part["id"].tolist(), [b"".join(map(get, np.frombuffer(d, "<i4").tolist())) for d in part["data"]]
+
+
+def _dealt(docs: DataFrame) -> DataFrame:
+    """docs in tasks of SPLITS splits, since a larger block folds a word that repeats in it once, but in two tasks a core at least;
+    a table of fewer splits than cores is dealt out."""
+    splits, cores = docs.rdd.getNumPartitions(), docs.sparkSession.sparkContext.defaultParallelism
+    return docs.repartition(cores) if splits < cores else docs.coalesce(max(2 * cores, splits // SPLITS))
+
+
+def _stream(docs: DataFrame, vocabulary: str, pattern: str, id_col: str, text_col: str, block_words: int, block_codes: int) -> DataFrame:
+    """kind, id, data and found: the stream with its words folded; ids has those of a row's words one after another."""
+    ranks = read_ranks(vocabulary)
+    sent = docs.sparkSession.sparkContext.broadcast(ranks)
+    kind = docs.schema[id_col].dataType.simpleString()
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= self.cache_words + len(self.head):
-            self.clear()
-            self.update(self.head)
-        found = self[word] = np.array(merge_bytes(word.encode("utf-8", "surrogatepass"), self.ranks), "<u4").tobytes()
-        return found
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cut = kept("word cutter", pattern, lambda: word_cutter(pattern))
+        yield from _blocks(batches, cut, sent.value, block_words, block_codes)
 
-    def encode(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, self.words(text))) if text else b""
+    rows = _dealt(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
+    rows = rows.mapInPandas(run, f"kind tinyint, id {kind}, data binary, words array<string>")
+    pairs = PairRanks(ranks)
+    ids = _let(pairs.literal, lambda table: F.transform("words", lambda w: fold_ids(w, pairs, table)))
+    flat = lambda x: F.struct(F.flatten(x).alias("ids"), F.transform(x, lambda y: F.size(y)).alias("sizes"))
+    found = F.when(F.col("kind") == _WORDS, _let(ids, flat)).alias("found")
+    return rows.select("kind", "id", "data", found)
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
+def _pieces(ranks: dict[bytes, int]) -> list[bytes]:
+    pieces = [b""] * (1 + max(ranks.values(), default=-1))
+    for piece, rank in ranks.items():
+        pieces[rank] = piece
+    return pieces
 
-def _codec(docs: DataFrame, vocabulary: str, pattern: str, id_col: str, text_col: str):
-    ranks = read_ranks(vocabulary)
-    head = frequent_words(docs, ranks, pattern, id_col, text_col)
-    sent = docs.sparkSession.sparkContext.broadcast((ranks, pattern, head))
-    key = hashlib.sha256(repr((sorted(ranks.items()), pattern, sorted(head))).encode()).hexdigest()
-    return lambda: kept("byte codec", key, lambda: Codec(*sent.value))
 
-
-def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_documents(
+    docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", block_words: int = BLOCK_WORDS, block_codes: int = BLOCK_CODES
+) -> DataFrame:
     """id and ids (array) of every row."""
-    own, kind = _codec(docs, vocabulary, pattern, id_col, text_col), docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = own().encode
-        for batch in batches:
-            for at in range(0, len(batch), 500):
-                some = batch[at : at + 500]
-                yield pd.DataFrame({"id": some["id"], "ids": [np.frombuffer(encode(t), "<u4").astype(np.int32) for t in some["text"]]})
+        for names, data in _encoded(batches):
+            yield pd.DataFrame({"id": names, "ids": [np.frombuffer(d, "<u4").astype(np.int32) for d in data]})
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(run, f"id {kind}, ids array<int>")
-    return rows.select(F.col("id").alias(id_col), "ids")
+    stream, kind = _stream(docs, vocabulary, pattern, id_col, text_col, block_words, block_codes), docs.schema[id_col].dataType.simpleString()
+    return stream.mapInPandas(run, f"id {kind}, ids array<int>").select(F.col("id").alias(id_col), "ids")
 
 
 def decode_documents(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """id and data (binary) of every row of ids; null ids count as none, an unknown id raises."""
-    ranks, kind = read_ranks(vocabulary), encoded.schema[id_col].dataType.simpleString()
-    sent = encoded.sparkSession.sparkContext.broadcast(ranks)
-    key = hashlib.sha256(repr(sorted(ranks.items())).encode()).hexdigest()
+    sent, kind = encoded.sparkSession.sparkContext.broadcast(_pieces(read_ranks(vocabulary))), encoded.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        decode = kept("byte decoder", key, lambda: Codec(sent.value, "", {})).decode
+        get = sent.value.__getitem__
         for batch in batches:
-            data = [decode(np.array([] if ids is None else ids, "<u4").tobytes()) for ids in batch["ids"]]
-            yield pd.DataFrame({"id": batch["id"], "data": data})
+            yield pd.DataFrame({"id": batch["id"], "data": [b"" if ids is None else b"".join(map(get, ids)) for ids in batch["ids"]]})
 
     rows = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")).mapInPandas(run, f"id {kind}, data binary")
     return rows.select(F.col("id").alias(id_col), "data")
 
 
-def round_trip(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(
+    docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", block_words: int = BLOCK_WORDS, block_codes: int = BLOCK_CODES
+) -> DataFrame:
     """id, n_tokens, ids_sha256 (of little-endian ids) and decoded_sha256 (of the bytes decoded from them) of every row."""
-    own, kind = _codec(docs, vocabulary, pattern, id_col, text_col), docs.schema[id_col].dataType.simpleString()
+    sent = docs.sparkSession.sparkContext.broadcast(_pieces(read_ranks(vocabulary)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codec = own()
-        for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                ids = codec.encode(text)
-                rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(codec.decode(ids)).hexdigest()))
-            out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-            out.insert(0, "id", batch["id"].to_numpy())
-            yield out
-
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = rows.mapInPandas(run, f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+        get = sent.value.__getitem__
+        for names, data in _encoded(batches):
+            decoded = [b"".join(map(get, np.frombuffer(d, "<u4").tolist())) for d in data]
+            digest = lambda rows: [hashlib.sha256(x).hexdigest() for x in rows]
+            yield pd.DataFrame({"id": names, "n_tokens": [len(d) // 4 for d in data], "ids_sha256": digest(data), "decoded_sha256": digest(decoded)})
+
+    stream, kind = _stream(docs, vocabulary, pattern, id_col, text_col, block_words, block_codes), docs.schema[id_col].dataType.simpleString()
+    rows = stream.mapInPandas(run, f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
     return rows.select(F.col("id").alias(id_col), "n_tokens", "ids_sha256", "decoded_sha256")

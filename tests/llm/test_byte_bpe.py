@@ -31,23 +31,33 @@ def random_texts(n):
 TEXTS = [None, "", "Hello  world's   end \n", "<|endoftext|>", "a" * 5000, "abcdefgh" * 60, "中文字符" * 80, " " * 300, *random_texts(300)]
 
 
-def test_merges_match_the_library(ranks, library):
-    codec = B.Codec(ranks, public_tokenizers.PATTERN, {}, cache_words=50)
-    for text in filter(None, TEXTS):
-        ids = np.frombuffer(codec.encode(text), "<u4")
-        assert ids.tolist() == library.encode_ordinary(text)
-        assert codec.decode(ids.tobytes()) == text.encode()
+def words_of(texts):
+    return sorted({w for t in filter(None, texts) for w in B.regex.findall(public_tokenizers.PATTERN, t)})
+
+
+def test_long_merges_match_the_library(ranks, library):
+    for word in words_of(TEXTS):
+        assert B.merge_long(word.encode(), ranks) == library._core_bpe.encode_single_piece(word.encode())
 
 
 def test_fold_matches_the_library(spark, ranks, library):
-    words = sorted({w for t in filter(None, TEXTS) for w in B.Codec(ranks, public_tokenizers.PATTERN, {}).words(t) if len(w.encode()) <= B.LONG_WORD})
-    frame = spark.createDataFrame([(w,) for w in words], "word string").select("word", B.word_bytes(F.col("word")).alias("p"))
-    got = frame.select("word", B.fold_ids(F.col("p"), B.Ranks(ranks)).alias("ids")).collect()
-    assert len(got) > 300
+    words = [w for w in words_of(TEXTS) if len(w.encode()) <= B.LONG_WORD]
+    frame = spark.createDataFrame([(w,) for w in words], "word string")
+    got = frame.select("word", B.fold_ids(F.col("word"), B.PairRanks(ranks)).alias("ids")).collect()
+    assert len(got) > 300 and max(len(w) for w in words) > 200
     for r in got:
         assert list(r.ids) == library._core_bpe.encode_single_piece(r.word.encode())
 
 
+def test_pair_ranks_of_a_small_vocabulary(spark):
+    ranks = {bytes([i]): i for i in range(256)} | {b"ab": 256, b"abab": 257, b"ba": 258}
+    frame = spark.createDataFrame([("ababab",), ("bab",), ("",), ("c",)], "word string")
+    got = {r.word: list(r.ids) for r in frame.select("word", B.fold_ids(F.col("word"), B.PairRanks(ranks)).alias("ids")).collect()}
+    assert got == {"ababab": [257, 256], "bab": [98, 256], "": [], "c": [99]}
+    with pytest.raises(ValueError):
+        B.PairRanks({b"a": 1 << B.ID_BITS})
+
+
 def test_rows(spark, ranks, library):
     docs = spark.createDataFrame([(i, t, 0) for i, t in enumerate(TEXTS)] + [(2, TEXTS[2], 0)], "doc_id long, text string, n_tokens int")
     rows = B.round_trip(docs, PATH, public_tokenizers.PATTERN).collect()
@@ -62,9 +72,14 @@ def test_rows(spark, ranks, library):
     assert B.round_trip(docs.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
 
 
-def test_java_pattern_cuts_alike(spark):
-    texts = [t for t in TEXTS if t]
-    frame = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
-    cut = F.regexp_extract_all("t", F.lit(B.java_pattern(public_tokenizers.PATTERN)), F.lit(0))
-    words = B.regex.compile(public_tokenizers.PATTERN).findall
-    assert {r.i: r.w for r in frame.select("i", cut.alias("w")).collect()} == {i: words(t) for i, t in enumerate(texts)}
+def test_small_blocks_give_the_same(spark):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    whole, small = (B.round_trip(docs, PATH, public_tokenizers.PATTERN, **k).orderBy("doc_id").collect() for k in ({}, {"block_words": 7}))
+    assert whole == small == B.round_trip(docs, PATH, public_tokenizers.PATTERN, block_codes=1).orderBy("doc_id").collect()
+
+
+def test_cutter_cuts_as_the_pattern():
+    cut, words = B.word_cutter(public_tokenizers.PATTERN), B.regex.compile(public_tokenizers.PATTERN).findall
+    every = "".join(f"{chr(c)}a{chr(c)}{chr(c)}1 " for c in range(256))
+    for text in [*filter(None, TEXTS), every, *(every[i:] for i in range(1, 9))]:
+        assert cut(text) == words(text)
