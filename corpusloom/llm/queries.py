@@ -9,14 +9,22 @@ from pyspark.sql import functions as F
 from . import byte_bpe, decontaminate, language_id, neighbours, secrets, simhash, token_counts, token_files, toxicity, url_filter
 from .common import table
 
-#: Hosts known for spam; the canonical URLs of their pages are the list that the filter is built of.
-SPAM_HOSTS = r"(^|\.)(spam-farm|cheap-pills|click-bait|casino-win)\."
+#: The given list: canonical URLs of known spam hosts, for every page number below LISTED_PAGES (1.5 million URLs).
+SPAM_HOSTS = ("spam-farm", "cheap-pills", "click-bait", "casino-win", "free-bets", "ads-track", "adult-x")
+LISTED_PARTS = [f"{sub}{host}.example.{top}/{lang}/" for host in SPAM_HOSTS for sub in ("", "m.", "blog.") for top in ("com", "net", "org") for lang in ("en", "fr", "de", "es")]
+LISTED_ENDS = ("", ".html", "?page=2")
+LISTED_PAGES = 2000
+
+
+def listed_urls(spark: SparkSession) -> DataFrame:
+    """One column url: the given list."""
+    each = lambda parts: F.explode(F.array(*map(F.lit, parts)))
+    rows = spark.range(LISTED_PAGES).select("id", each(LISTED_PARTS).alias("part")).select("id", "part", each(LISTED_ENDS).alias("end"))
+    return rows.select(F.concat("part", F.col("id").cast("string"), "end").alias("url"))
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
-    listed = pages.where(url_filter.url_host(F.col("url")).rlike(SPAM_HOSTS)).select(url_filter.canonical_url(F.col("url")))
-    return url_filter.filter_urls(pages, listed)
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"), listed_urls(spark))
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +91,7 @@ QUERIES = {
 }
 
 _CANONICAL = r"""nullif(regexp_replace(h, '^www\.', '') || regexp_replace(p, '/+$', '') || coalesce('?' || nullif(array_to_string(list_filter(string_split(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), '&'), lambda x: NOT regexp_matches(x, '^(utm_[^=]*|ref)(=|$)') AND x <> ''), '&'), ''), ''), '')"""
+_quoted = lambda parts: ", ".join(f"'{p}'" for p in parts)
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 SQL = {
@@ -94,7 +103,8 @@ c AS (SELECT *, CASE WHEN h = '' THEN NULL ELSE {_CANONICAL} END AS canonical,
        WHEN (h = 'example.com' OR h LIKE '%.example.com') AND p LIKE '/de/%' THEN 'example.com/de/'
        WHEN (h = 'org' OR h LIKE '%.org') AND p LIKE '/fr/%' THEN 'org/fr/'
        WHEN (h = 'net' OR h LIKE '%.net') AND p LIKE '/%' THEN 'net/' END AS rule FROM b),
-listed AS (SELECT DISTINCT canonical AS url FROM c WHERE regexp_matches(h, '{SPAM_HOSTS}'))
+listed AS (SELECT part || n || ending AS url FROM (SELECT unnest([{_quoted(LISTED_PARTS)}]) AS part), range({LISTED_PAGES}) AS r(n),
+  (SELECT unnest([{_quoted(LISTED_ENDS)}]) AS ending))
 SELECT page_id, h AS host, p AS path, rule,
   CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
        WHEN listed.url IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,

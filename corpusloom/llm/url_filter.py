@@ -1,7 +1,8 @@
 """URL filters: host and path rules, then a blocked Bloom filter of listed URLs confirmed by an exact hash join.
 
 Only DataFrame functions are used. A listed URL sets eight bits of one 256-bit block (four BIGINT words); a page url is a
-possible hit when its block has all of them. Only possible hits reach the exact join, which removes false positives.
+possible hit when its block has all of them. The filter is of bounded size and always broadcast, so pages meet it without a
+shuffle. Only possible hits reach the exact join, which removes false positives.
 
 Defined results: a null url, or one without "://", has empty host and path, fits no rule and is never listed; repeated rows
 are judged one by one; an empty list lets everything pass; extra columns of the input are kept out of the result.
@@ -15,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 #: (verdict, rule): the rule's host fits itself and its subdomains, its path is a prefix; the longest rule wins.
 RULES: tuple[tuple[str, str], ...] = (
     ("block", "net/"),
@@ -25,9 +28,13 @@ RULES: tuple[tuple[str, str], ...] = (
 BLOCK_BITS = 256
 PROBES = 8
 BITS_PER_URL = 16
-#: Up to this many listed URLs, filter and list are broadcast (2 and at most about 100 bytes a URL); beyond, both are joined by shuffles.
-BROADCAST_URLS = 50_000
-#: Copies of a filter block or listed URL in the shuffled form, so that one hot url is dealt to as many tasks.
+#: Blocks of the filter at most, so that it is always broadcast: 40 MiB of bits and numbers. It gives every URL its bits up to
+#: 16 million URLs; beyond, it passes more hits that the exact join then removes.
+MAX_BLOCKS = 1 << 20
+#: Up to this many distinct URLs (at most about 100 bytes each) possible hits and confirmed URLs are broadcast; beyond, they
+#: are joined by shuffles of possible hits alone.
+BROADCAST_URLS = 200_000
+#: Copies of a confirmed URL in the shuffled form, so that one hot url is dealt to as many tasks.
 SALTS = 16
 
 
@@ -98,49 +105,46 @@ def filter_urls(
     id_col: str = "page_id",
     url_col: str = "url",
     broadcast_urls: int = BROADCAST_URLS,
+    max_blocks: int = MAX_BLOCKS,
 ) -> DataFrame:
     """id, host, path, rule, verdict, canonical and listed (boolean) of every row of pages.
 
-    listed: a DataFrame whose first column holds canonical URLs; nulls and repeats in it are ignored.
+    listed: a DataFrame whose first column holds canonical URLs; nulls and repeats in it are ignored. Pages are read once and
+    meet the filter where they are read; what is written then has their judged columns. Only distinct possible hits go to the
+    exact join with the list, and only pages of possible hits are ever shuffled.
     """
-    urls = listed.toDF("url", *(f"_{i}" for i in range(1, len(listed.columns)))).select("url").where(F.col("url").isNotNull()).distinct()
-    count = urls.count()
-    blocks = max(1, -(-count * BITS_PER_URL // BLOCK_BITS))
-    small = count <= broadcast_urls
-    rows = pages.select(F.col(id_col), F.col(url_col).alias("_url"))
-    rows = rows.select(
-        id_col, url_host(F.col("_url")).alias("host"), url_path(F.col("_url")).alias("path"), canonical_url(F.col("_url")).alias("canonical")
-    )
+    urls = listed.toDF("url", *(f"_{i}" for i in range(1, len(listed.columns)))).select("url").where(F.col("url").isNotNull())
+    blocks = min(max_blocks, max(1, -(-urls.count() * BITS_PER_URL // BLOCK_BITS)))
+    bloom = bloom_table(urls, blocks)
+    rows = pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{url_col}`").alias("url"))
+    rows = rows.select("id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"), canonical_url(F.col("url")).alias("canonical"))
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
-    rows = rows.select("*", rule.alias("rule"), verdict.alias("_verdict"))
     block, words = probe_words(F.col("canonical"), blocks)
-    rows = rows.select("*", block.alias("block"), *(w.alias(f"p{i}") for i, w in enumerate(words)))
-    bloom = bloom_table(urls, blocks)
+    rows = rows.select("*", rule.alias("rule"), verdict.alias("verdict"), block.alias("block"), *(w.alias(f"p{i}") for i, w in enumerate(words)))
     holds = F.lit(True)
     for i in range(len(words)):
         holds = holds & (F.col(f"w{i}").bitwiseAND(F.col(f"p{i}")) == F.col(f"p{i}"))
-    exact = urls.select(F.col("url").alias("_listed"))
-    wanted = F.col("canonical").isNotNull() & F.col("rule").isNull()
-    if small:
-        rows = rows.join(F.broadcast(bloom), "block", "left")
-        key = F.when(F.coalesce(holds & wanted, F.lit(False)), F.col("canonical"))
-        rows = rows.withColumn("_key", key).join(F.broadcast(exact), F.col("_key") == F.col("_listed"), "left")
+    possible = F.coalesce(holds & F.col("canonical").isNotNull() & F.col("rule").isNull(), F.lit(False))
+    rows = rows.join(F.broadcast(bloom), "block", "left").select("id", "host", "path", "rule", "verdict", "canonical", possible.alias("possible"))
+    rows = materialize(rows, "judged-pages")
+
+    hits = materialize(rows.where("possible").select(F.col("canonical").alias("url")).distinct(), "possible-urls")
+    if hits.count() <= broadcast_urls:
+        found = urls.join(F.broadcast(hits), "url", "left_semi").distinct()
+    else:
+        found = hits.join(urls.distinct(), "url", "left_semi")
+    found = materialize(found.select(F.col("url").alias("listed_url")), "confirmed-urls")
+    if found.count() <= broadcast_urls:
+        key = F.when(F.col("possible"), F.col("canonical"))
+        rows = rows.withColumn("key", key).join(F.broadcast(found), F.col("key") == F.col("listed_url"), "left")
     else:
-        salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
-        own = F.pmod(F.xxhash64(id_col, "canonical"), F.lit(SALTS).cast("bigint")).cast("int")
-        rows = rows.withColumn("_salt", own).join(bloom.select("*", salt), ["block", "_salt"], "left")
-        possible = F.coalesce(holds & wanted, F.lit(False))
-        hits = rows.where(possible).join(
-            exact.select(F.col("_listed").alias("canonical"), F.col("_listed"), salt), ["canonical", "_salt"], "left"
-        )
-        rows = hits.unionByName(rows.where(~possible).withColumn("_listed", F.lit(None).cast("string")))
-    is_listed = F.col("_listed").isNotNull()
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+        own = F.pmod(F.xxhash64("id", "canonical"), F.lit(SALTS).cast("bigint")).cast("int").alias("salt")
+        found = found.select("listed_url", F.col("listed_url").alias("canonical"), salts)
+        some = rows.where("possible").select("*", own).join(found, ["canonical", "salt"], "left").drop("salt")
+        rows = some.unionByName(rows.where("not possible").withColumn("listed_url", F.lit(None).cast("string")))
+    is_listed = F.col("listed_url").isNotNull()
+    by_list = F.when(is_listed, F.lit("block")).otherwise(F.lit("allow"))
     return rows.select(
-        id_col,
-        "host",
-        "path",
-        "rule",
-        F.coalesce("_verdict", F.when(is_listed, F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"),
-        "canonical",
-        is_listed.alias("listed"),
+        F.col("id").alias(id_col), "host", "path", "rule", F.coalesce("verdict", by_list).alias("verdict"), "canonical", is_listed.alias("listed")
     )

@@ -29,8 +29,9 @@ def brute(url):
 def test_rules_and_list(spark):
     pages = spark.createDataFrame([(i, u, "x") for i, u in enumerate(URLS)], "page_id long, url string, listed string")
     listed = spark.createDataFrame([("bad.test/p?b=2",), (None,), ("bad.test/p?b=2",)], "u string")
-    for bound in (100, 0):
-        rows = U.filter_urls(pages, listed, broadcast_urls=bound).collect()
+    more = listed.union(spark.range(3000).select(F.concat(F.lit("other.test/"), "id")))
+    for bound, urls, blocks in ((100, listed, 10), (0, listed, 10), (1, more, 1), (0, more, 1), (100, more, 1000)):
+        rows = U.filter_urls(pages, urls, broadcast_urls=bound, max_blocks=blocks).collect()
         got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in rows}
         assert len(rows) == len(URLS)
         assert got == {i: brute(u) for i, u in enumerate(URLS)}
@@ -43,6 +44,15 @@ def test_empty_tables(spark):
     assert [r.verdict for r in U.filter_urls(some, spark.createDataFrame([], "u string")).collect()] == ["allow"]
 
 
+def test_pages_are_not_shuffled_before_the_filter(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(U, "materialize", lambda df, name: plans.append((name, df._jdf.queryExecution().executedPlan().toString())) or df)
+    pages = spark.range(1000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h.test/"), "id").alias("url"))
+    U.filter_urls(pages, spark.range(2_000_000).select(F.concat(F.lit("h.test/"), F.col("id") * 3)))
+    judged = dict(plans)["judged-pages"]
+    assert "BroadcastHashJoin" in judged and "SortMergeJoin" not in judged and judged.count("Exchange hashpartitioning") == 1  # the filter's own
+
+
 def test_bloom_has_no_false_negative(spark):
     urls = spark.range(500).select(F.concat(F.lit("h.test/"), "id").alias("url"))
     bloom = U.bloom_table(urls, 20)
