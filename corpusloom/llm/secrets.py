@@ -8,12 +8,14 @@ secret, a secret needs an identifier or an endpoint, an endpoint needs both. Bas
 part standing in the bins that it covers and both neighbouring ones, as a semi-join: it never makes pairs.
 
 Defined results: a null text counts as empty and has no span; repeated rows are scanned one by one; extra columns may clash
-with no working column, since each input row is packed in one struct. Work in a row grows with text length plus the square
-of its number of matches at worst (array appends, 8 bytes each).
+with no working column, since each input row is packed in one struct. Work in a row grows with its text's length and with its
+number of matches to the power of 1.5 at most (short array appends).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,24 +38,57 @@ _SPAN = "struct<s:int,k:int,e:int>"
 _NONE = f"cast(array() as array<{_SPAN}>)"
 
 
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), with value computed once and not for each element of a lambda that it stands in."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
+def _scan(items: Column, state: Column, advance, emit, kind: str) -> Column:
+    """emit(state, x) (arrays of kind) of each item one after another, where advance(state, x) makes the next state.
+
+    Items go by runs of about the square root of their number: appending copies what is there, so one fold over all m would
+    copy m * m / 2 elements, this one m to the power of 1.5.
+    """
+    none = f"cast(array() as array<{kind}>)"
+
+    def run(items: Column) -> Column:
+        size = F.ceil(F.sqrt(F.size(items))).cast("int")
+
+        def inner(acc: Column, x: Column) -> Column:
+            return F.struct(advance(acc["state"], x).alias("state"), F.concat(acc["out"], emit(acc["state"], x)).alias("out"))
+
+        def outer(acc: Column, at: Column) -> Column:
+            start = F.struct(acc["state"].alias("state"), F.expr(none).alias("out"))
+            done = F.aggregate(F.slice(items, at * size + 1, size), start, inner)
+            return _let(done, lambda d: F.struct(d["state"].alias("state"), F.concat(acc["out"], F.array(d["out"])).alias("out")))
+
+        zero = F.struct(state.alias("state"), F.expr(f"cast(array() as array<array<{kind}>>)").alias("out"))
+        runs = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / size).cast("int"))
+        return F.when(F.size(items) > 0, F.flatten(F.aggregate(runs, zero, outer)["out"])).otherwise(F.expr(none))
+
+    return _let(items, run)
+
+
 def _spans(text: Column, pattern: str, kind: Column | int, keep=None, group: int = 0) -> Column:
     """Spans (start, kind, end) of the leftmost non-overlapping matches; keep and kind may depend on the match or its group."""
-    own = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else own
-    gaps = F.split(text, pattern, -1)
-
-    def step(acc: Column, i: Column) -> Column:
-        start = acc["at"] + F.length(F.get(gaps, i))
-        end = start + F.length(F.get(own, i))
-        value = F.get(part, i)
+    found = F.struct(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("own"),
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("part"),
+        F.split(text, pattern, -1).alias("gaps"),
+    )
+
+    def matches(f: Column) -> Column:
+        one = lambda x, i: F.struct(F.length(F.get(f["gaps"], i)).alias("gap"), F.length(x).alias("size"), F.get(f["part"], i).alias("value"))
+        return F.transform(f["own"], one)
+
+    def emit(at: Column, x: Column) -> Column:
+        start, value = at + x["gap"], x["value"]
         k = kind(value) if callable(kind) else F.lit(kind)
-        span = F.array(F.struct(start.alias("s"), k.alias("k"), end.alias("e")))
-        found = F.concat(acc["out"], span) if keep is None else F.when(keep(value), F.concat(acc["out"], span)).otherwise(acc["out"])
-        return F.struct(end.alias("at"), found.alias("out"))
+        span = F.array(F.struct(start.alias("s"), k.alias("k"), (start + x["size"]).alias("e")))
+        return span if keep is None else F.when(keep(value), span).otherwise(F.expr(_NONE))
 
-    zero = F.struct(F.lit(0).alias("at"), F.expr(_NONE).alias("out"))
-    walked = F.aggregate(F.sequence(F.lit(0), F.size(own) - 1), zero, step, lambda acc: acc["out"])
-    return F.when(F.size(own) > 0, walked).otherwise(F.expr(_NONE))
+    walked = _scan(_let(found, matches), F.lit(0), lambda at, x: at + x["gap"] + x["size"], emit, _SPAN)
+    return F.when(text.rlike(pattern), walked).otherwise(F.expr(_NONE))
 
 
 def candidate_spans(text: Column) -> Column:
@@ -81,16 +116,30 @@ def candidate_spans(text: Column) -> Column:
 
 
 def _without_covered(spans: Column) -> Column:
-    """Base spans, and weak ones that overlap no base span."""
-    base = F.filter(spans, lambda x: x["k"] < BASE)
-    weak = F.filter(spans, lambda x: x["k"] >= BASE)
-    return F.concat(base, F.filter(weak, lambda w: ~F.exists(base, lambda b: (b["s"] < w["e"]) & (w["s"] < b["e"]))))
+    """Base spans, and weak ones that overlap no base span: none before them ends after their start, none after them starts
+    before their end. In the order of spans turned round."""
+    base = lambda x: x["k"] < BASE
+    marked = _scan(
+        F.array_sort(spans),
+        F.lit(0),
+        lambda end, x: F.when(base(x), F.greatest(end, x["e"])).otherwise(end),
+        lambda end, x: F.when(base(x) | (end <= x["s"]), F.array(x)).otherwise(F.expr(_NONE)),
+        _SPAN,
+    )
+    kept = _scan(
+        F.reverse(marked),
+        F.lit(2147483647),
+        lambda start, x: F.when(base(x), x["s"]).otherwise(start),
+        lambda start, x: F.when(base(x) | (start >= x["e"]), F.array(x)).otherwise(F.expr(_NONE)),
+        _SPAN,
+    )
+    return F.when(F.exists(spans, lambda x: x["k"] >= BASE), kept).otherwise(spans)
 
 
 def _linked(found: DataFrame, scope: int) -> DataFrame:
     """row, spans: the weak spans with complementary parts in scope, of the rows that have any."""
     parts = found.where(F.exists("spans", lambda x: x["k"] >= BASE)).select("row", F.explode("spans").alias("x"))
-    parts = parts.select("row", "x.s", "x.k", "x.e")
+    parts = materialize(parts.select("row", "x.s", "x.k", "x.e"), "secret-parts")
     covered = F.explode(F.sequence(F.expr(f"s div {scope}"), F.expr(f"e div {scope}"))).alias("bin")
     weak = parts.where(f"k >= {BASE}").select("row", "s", "k", "e", covered)
 
@@ -120,8 +169,8 @@ def _linked(found: DataFrame, scope: int) -> DataFrame:
 
 def scan_secrets(docs: DataFrame, text_col: str = "text", scope: int = SCOPE, keep: list[str] | None = None) -> DataFrame:
     """The columns in keep (all of docs by default) in a struct `doc`, and `spans`: sorted array of (s, k, e)."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    packed = docs.select(F.struct(*(keep or docs.columns)).alias("doc"), text.alias("text"))
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep or docs.columns)).alias("doc"), text.alias("text"))
     found = packed.select("doc", candidate_spans(F.col("text")).alias("spans")).select("doc", _without_covered(F.col("spans")).alias("spans"))
     found = materialize(found.withColumn("row", F.monotonically_increasing_id()), "secret-spans")
     weak = F.exists("spans", lambda x: x["k"] >= BASE)
@@ -144,7 +193,7 @@ def secret_digest(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
     base = F.filter("spans", lambda x: x["k"] < BASE)
     count = lambda i: F.size(F.filter("spans", lambda x: x["k"] == i)).cast("bigint")
     return scanned.select(
-        F.col(f"doc.{id_col}").alias(id_col),
+        F.col(f"doc.`{id_col}`").alias(id_col),
         count(0).alias("n_assign"),
         count(1).alias("n_access"),
         count(2).alias("n_hex"),
@@ -153,29 +202,15 @@ def secret_digest(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
     )
 
 
-def _merged(spans: Column) -> Column:
-    """Overlapping spans as one, in order."""
-
-    def step(acc: Column, x: Column) -> Column:
-        last = F.element_at(acc, -1)
-        grown = F.concat(
-            F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(last["s"].alias("s"), F.greatest(last["e"], x["e"]).alias("e")))
-        )
-        new = F.concat(acc, F.array(F.struct(x["s"].alias("s"), x["e"].alias("e"))))
-        return F.when((F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["e"] > x["s"]), grown).otherwise(new)
-
-    return F.aggregate(spans, F.expr("cast(array() as array<struct<s:int,e:int>>)"), step)
-
-
 def mask_spans(text: Column, spans: Column, mask: str = MASK) -> Column:
-    """The text with every span (overlapping ones as one) replaced by mask."""
-    merged = _merged(spans)
-    before = lambda m, i: F.when(i > 0, F.get(m, i - 1)["e"]).otherwise(F.lit(0))
+    """The text with every span of a sorted array (overlapping ones as one) replaced by mask."""
 
-    def rebuilt(m: Column) -> Column:
-        pieces = F.transform(m, lambda x, i: F.concat(F.substring(text, before(m, i) + 1, x["s"] - before(m, i)), F.lit(mask)))
-        rest = F.substring(text, F.element_at(m, -1)["e"] + 1, F.length(text))
-        return F.concat(F.array_join(pieces, ""), rest)
+    def masked(t: Column) -> Column:
+        before = lambda at, x: F.concat(F.substring(t, at + 1, x["s"] - at), F.lit(mask))
+        none = F.expr("cast(array() as array<string>)")
+        ahead = lambda at, x: F.when(x["s"] >= at, F.array(before(at, x))).otherwise(none)
+        pieces = _scan(spans, F.lit(0), lambda at, x: F.greatest(at, x["e"]), ahead, "string")
+        last = F.array_max(F.transform(spans, lambda x: x["e"]))
+        return F.concat(F.array_join(pieces, ""), F.substring(t, last + 1, F.length(t)))
 
-    once = F.get(F.transform(F.array(merged), rebuilt), 0)
-    return F.when(F.size(spans) > 0, once).otherwise(text)
+    return F.when(F.size(spans) > 0, _let(text, masked)).otherwise(text)

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -65,3 +66,56 @@ def test_weak_parts_beside_long_ones(spark):
     got = {r.doc_id: r.spans for r in S.secret_digest(S.scan_secrets(frame(spark, texts))).collect()}
     assert "weak_id" in got[0] and "weak_id" in got[1] and "weak_id" not in got[2]
     assert "weak_secret" in got[3] and "endpoint" in got[3] and "weak_id" not in got[3]  # no secret near the identifier
+
+
+def linked(text, scope=S.SCOPE):
+    """All spans by comparing every part with every other."""
+    text, base = text or "", brute(text)
+    mixed = lambda v: re.search("[0-9]", v) and re.search("[A-Z]", v) and re.search("[a-z]", v)
+    weak = [(m.start(), 4, m.end()) for m in ASSIGN.finditer(text) if S.WEAK_ASSIGN_CHARS <= len(m[2]) < S.ASSIGN_CHARS]
+    weak += [(m.start(), 3, m.end()) for m in re.finditer(S.ACCESS, text) if 8 <= len(m[0]) < S.ACCESS_CHARS]
+    weak += [(m.start(), 3, m.end()) for m in re.finditer(S.WEAK_ID, text)]
+    weak += [(m.start(), 4, m.end()) for m in re.finditer(S.WEAK_STRING, text) if mixed(m[0])]
+    weak += [(m.start(), 5, m.end()) for m in re.finditer(S.ENDPOINT, text)]
+    weak = sorted({w for w in weak if not any(b[0] < w[2] and w[0] < b[2] for b in base)})
+    parts = base + weak
+    near = lambda w, kinds: any(k in kinds and max(s, w[0]) - min(e, w[2]) <= scope for s, k, e in parts if (s, k, e) != w)
+    wanted = {3: [(0, 2, 4)], 4: [(1, 3, 5)], 5: [(1, 3), (0, 2, 4)]}
+    return sorted(base + [w for w in weak if all(near(w, kinds) for kinds in wanted[w[1]])])
+
+
+def weak_texts(n):
+    r = random.Random(8)
+    some = [
+        "user_id=bob77", "client_id: 'svc-9@x'", "login=ada.l", "AKIAABCD1234", "AKIA" + "Z9" * 10, "password=short12", "token: abc123x", "secret=" + "k3" * 9,
+        "aB3" * 12, "0123456789abcdef01", "https://db.example.com/x?y", "postgres://h:5432/db", "s3://bucket/" + "p/" * 120, "passwd='tiny'",
+    ]
+    fill = lambda: " ".join(r.choice(("word", "é😀", "zz", "\n")) for _ in range(r.choice((0, 1, 3, 20, 45, 60))))
+    return ["".join(r.choice(some) + r.choice((" ", "", "\n")) + fill() + " " for _ in range(r.randint(0, 12))) for _ in range(n)]
+
+
+def test_linking_matches_the_brute_force(spark):
+    texts = weak_texts(400)
+    rows = S.secret_digest(S.scan_secrets(frame(spark, texts))).collect()
+    want = {i: ",".join(f"{S.KINDS[k]}:{s}:{e}" for s, k, e in linked(t)) for i, t in enumerate(texts)}
+    assert {r.doc_id: r.spans for r in rows} == want
+    assert all(sum(k in w for w in want.values()) > 20 for k in S.KINDS)
+
+
+def test_weak_parts_meet_in_a_join(spark):
+    found = spark.createDataFrame([(1, [(0, 3, 5), (9, 4, 20)])], "row long, spans array<struct<s:int,k:int,e:int>>")
+    plan = S._linked(found, S.SCOPE)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftSemi") == 4
+
+
+def test_many_matches_in_one_text(spark):
+    text = "".join(f"user_id=bob{i} password=short{i % 90} token=abcdefghijkl{i}\n" for i in range(4000))
+    row, = S.secret_digest(S.scan_secrets(frame(spark, [text]))).collect()
+    assert row.n_assign == 4000 and row.spans.count("weak_id") == 4000 and row.spans.count("weak_secret") == 4000
+    masked = S.scan_secrets(frame(spark, [text])).select(S.mask_spans(F.col("doc.text"), F.col("spans")).alias("t")).first().t
+    assert masked == "[SECRET] [SECRET] [SECRET]\n" * 4000
+
+
+def test_columns_with_dots(spark):
+    docs = spark.createDataFrame([(1, TEXTS[3], "x", "y")], "doc_id long, text string, `a.b` string, `a` string")
+    assert S.scan_secrets(docs).select("doc.`a.b`", "doc.a").collect() == [("x", "y")]
