@@ -88,8 +88,10 @@ class PairRanks:
         shifts, slots = self._displace(np.array(list(pairs), dtype=np.uint64))
         places = np.full(1 << self.place_bits, -1, dtype=np.int64)
         places[slots] = np.fromiter((k << RANK_BITS | r for k, r in pairs.items()), np.int64, len(pairs))
-        tables = {"s": shifts.tolist(), "p": places.tolist(), "b": [ranks.get(bytes([i]), -1) for i in range(256)]}
-        self.literal = F.from_json(F.lit(json.dumps(tables)), "struct<s:array<int>,p:array<bigint>,b:array<bigint>>")
+        # what two bytes merge to has a place of its own, since half of all looks are for that
+        two = [ranks.get(bytes([i, j]), NO_RANK) for i in range(256) for j in range(256)]
+        tables = {"s": shifts.tolist(), "p": places.tolist(), "b": [ranks.get(bytes([i]), -1) for i in range(256)], "two": two}
+        self.literal = F.from_json(F.lit(json.dumps(tables)), "struct<s:array<int>,p:array<bigint>,b:array<bigint>,two:array<bigint>>")
 
     def _displace(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Shifts by bucket and places by key; another turn of the hash where two keys share bucket and place."""
@@ -157,15 +159,15 @@ def fold_ids(word: Column, pairs: PairRanks, table: Column | None = None) -> Col
 
         return _let(F.array_min(pieces), merge)
 
-    def folded(ids: Column) -> Column:
-        def ranked_with_next(x: Column, i: Column) -> Column:
-            rank = F.when(i + 1 < F.size(ids), ranked(x, F.get(ids, i + 1))).otherwise(none)
-            return rank.bitwiseOR(F.shiftleft(i.cast("bigint"), ID_BITS)).bitwiseOR(x)
+    def folded(codes: Column) -> Column:
+        def ranked_with_next(c: Column, i: Column) -> Column:
+            rank = F.coalesce(F.get(table["two"], F.shiftleft(c, 8).bitwiseOR(F.get(codes, i + 1))), _long(NO_RANK))
+            return F.shiftleft(rank, rank_at).bitwiseOR(F.shiftleft(i.cast("bigint"), ID_BITS)).bitwiseOR(F.get(table["b"], c))
 
-        done = F.aggregate(F.slice(ids, F.lit(2), F.size(ids)), F.transform(ids, ranked_with_next), step)
+        done = F.aggregate(F.slice(codes, F.lit(2), F.size(codes)), F.transform(codes, ranked_with_next), step)
         return F.transform(done, lambda x: x.bitwiseAND(low).cast("int"))
 
-    return _let(F.transform(letters, lambda c: F.get(table["b"], F.ascii(c))), folded)
+    return _let(F.transform(letters, lambda c: F.ascii(c)), folded)
 
 
 # --- cutting texts -----------------------------------------------------------------------------------------------------

@@ -13,14 +13,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a temporary folder if all run in
+    one process (tests), else an error: executors would not see each other's files."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         context = spark.sparkContext
-        base = context.getCheckpointDir()
-        if not base:
-            base = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
-            context.setCheckpointDir(base)
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
+        context.setCheckpointDir(base)
     return f"{base.rstrip('/')}/corpusloom/{spark.sparkContext.applicationId}"
 
 
@@ -33,13 +34,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.written_path = path
+    return found
 
 
-def remove_path(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+def discard(df: DataFrame) -> None:
+    """Remove what materialize() wrote, once no result reads it any more (a round's table after the next one's is written)."""
+    spark, path = df.sparkSession, getattr(df, "written_path", None)
+    if path:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 #: What a worker process keeps between tasks, by kind; one value each.

@@ -5,12 +5,17 @@ neighbours can need. Nodes are lengthened by one component to equal norms, so ne
 symmetric while the graph is built; searches go by inner products. Vectors are kept as they are given (32 or 64 bits) and
 compared in double precision everywhere, so neither tight groups nor a few long rows blur what is nearer.
 
-Build: some random hyperplanes cut the nodes into cells of about CELL; larger cells are halved at the median along further
-directions (and dealt where even that leaves them large). The nearest in each cell start the lists of DEGREE neighbours; then in each NN-descent round a node introduces its neighbours and some of
-those that list it to each other, in Spark joins, and pairs better than what a member lists replace it. Who is introduced is
-a sample by hash of at most PART of each sort, the only bound, and one of the index: every row is indexed, and rounds end
-when few lists change. Search: each query keeps a beam of BEAM nodes, starting from its own neighbours; each round the
-neighbours of its EXPAND best unexpanded ones are scored, until no beam grows or after SEARCH_ROUNDS.
+Build: random hyperplanes cut the nodes into cells of about CELL, in TREES ways; larger cells are halved at the median along
+further directions (and dealt where even that leaves them large). The START nearest in each cell begin the lists of DEGREE
+neighbours. Then, whatever the size of the table, NN-descent rounds follow until few lists change: a node introduces its
+neighbours and some of those that list it to each other, in Spark joins, and pairs better than what a member lists replace it.
+Who is introduced is a sample by hash of at most PART of each sort, the only bound, and one of the index: every row is
+indexed. Vectors travel only to nodes that have a new neighbour to introduce.
+
+Search: each query keeps a beam of nodes, starting from its own neighbours; each round the neighbours of its best unexpanded
+ones are scored, until no beam has an unexpanded node. How wide beams must be depends on the vectors (256 nodes do where they
+have clusters, thousands in independent noise), so the index measures it: SAMPLE queries, the first by hash, are compared with
+all nodes exactly, and beams are doubled until their searches find WANTED of the true neighbours.
 
 Defined results: null vectors and ids, zero vectors, those with null or non-finite components and those of a length other
 than the commonest (the greatest of equally common ones) take no part; where there are fewer candidates all are listed;
@@ -27,21 +32,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from .common import materialize
+from .common import discard, materialize
 
 K = 20
 DEGREE = 32
-CELL = 2048
+CELL = 512
 TREES = 8
-START = 24
-PART = 24
+START = 16
+PART = 12
 GIVEN = 12
-BUILD_ROUNDS = 3
-CHANGED = 0.02
+CHANGED = 0.05
 BEAM = 256
-EXPAND = 48
-SEARCH_ROUNDS = 6
+#: A beam's nodes that are expanded in one round: this part of it.
+EXPAND = 4
+SAMPLE = 64
+WANTED = 0.93
 RESCORED = 64
+#: Rounds after which building or searching raises, a safety: either ends far before.
+MOST_ROUNDS = 100
 #: Halvings of cells that the hyperplanes leave large, at most.
 HALVINGS = 32
 #: Rounding error of an inner product, as a part of the greatest squared norm.
@@ -113,7 +121,7 @@ def _cells(nodes: DataFrame, count: int, cell: int, trees: int, kind: str) -> Da
             if not len(batch):
                 continue
             v = _matrix(batch["base"].tolist(), kind)
-            for tree in range(trees if depth else 1):
+            for tree in range(trees):
                 planes = np.random.default_rng([7, tree]).normal(size=(v.shape[1], max(1, depth)))
                 sides = (v @ planes > 0)[:, :depth].astype(np.int64)
                 code = (sides << np.arange(depth)).sum(axis=1) if depth else np.zeros(len(v), dtype=np.int64)
@@ -177,7 +185,7 @@ def _first_edges(nodes: DataFrame, count: int, degree: int, cell: int, trees: in
         if names:
             yield _cell_neighbours(np.array(names), data, k, kind, norm2)
 
-    k = start if count > cell else degree
+    k = min(start, degree)
     cells = _cells(nodes, count, cell, trees, kind)
     cells = cells.repartition("tree", "code", "part").sortWithinPartitions("tree", "code", "part")
     edges = cells.mapInPandas(run, "a bigint, b bigint, near double").groupBy("a", "b").agg(F.max("near").alias("near"))
@@ -215,6 +223,8 @@ def _descend(edges: DataFrame, nodes: DataFrame, degree: int, part: int, given:
     behind = edges.select(F.col("b").alias("center"), F.col("a").alias("member"), "fresh")
     members = _top(ahead, ["center", "fresh"], [order], part).union(_top(behind, ["center", "fresh"], [order], part))
     members = members.groupBy("center", "member").agg(F.max("fresh").alias("fresh"))
+    # only those with someone new: vectors are joined to no others
+    members = members.withColumn("any", F.max("fresh").over(Window.partitionBy("center"))).where("any").drop("any")
     least = edges.groupBy("a").agg(F.min("near").alias("least"), F.count("*").alias("n"))
     none = F.lit(float("-inf"))
     least = least.select(F.col("a").alias("node"), F.when(F.col("n") < degree, none).otherwise(F.col("least")).alias("least"))
@@ -223,7 +233,7 @@ def _descend(edges: DataFrame, nodes: DataFrame, degree: int, part: int, given:
     digits = F.encode(F.rpad(F.col("least").cast("string"), 25, " "), "UTF-8")
     flag = F.when(F.col("fresh"), F.unhex(F.lit("01"))).otherwise(F.unhex(F.lit("00")))
     packed = members.join(facts, "member").select("center", "fresh", F.concat(name, digits, flag, "base").alias("x"))
-    groups = packed.groupBy("center").agg(F.collect_list("x").alias("xs"), F.max("fresh").alias("any")).where("any").select("xs")
+    groups = packed.groupBy("center").agg(F.collect_list("x").alias("xs")).select("xs")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -237,32 +247,40 @@ def _descend(edges: DataFrame, nodes: DataFrame, degree: int, part: int, given:
     return _top(both, "a", [F.desc("near"), F.col("b")], degree)
 
 
-def build_graph(
-    nodes: DataFrame, kind: str, norm2: float, degree: int = DEGREE, cell: int = CELL, trees: int = TREES, rounds: int = BUILD_ROUNDS
-) -> DataFrame:
+def build_graph(nodes: DataFrame, kind: str, norm2: float, degree: int = DEGREE, cell: int = CELL, trees: int = TREES, part: int = PART) -> DataFrame:
     """Edges (a, b, near): the neighbours that each node lists. nodes: node, base (of numpy type kind); norm2: the greatest squared norm."""
     count = nodes.count()
     edges = materialize(_first_edges(nodes, count, degree, cell, trees, START, kind, norm2), "graph")
-    for turn in range(rounds if count > cell else 0):
-        edges = materialize(_descend(edges, nodes, degree, PART, GIVEN, turn, kind, norm2), "graph")
-        changed = edges.where("fresh").count()
-        if changed <= CHANGED * count * degree:
-            break
-    return edges.select("a", "b", "near")
+    for turn in range(MOST_ROUNDS):
+        edges, before = materialize(_descend(edges, nodes, degree, part, GIVEN, turn, kind, norm2), "graph"), edges
+        discard(before)
+        if edges.where("fresh").count() <= CHANGED * count * degree:
+            return edges.select("a", "b", "near")
+    raise RuntimeError(f"the graph has not settled in {MOST_ROUNDS} rounds")
+
+
+def both_ways(edges: DataFrame, degree: int = DEGREE) -> DataFrame:
+    """(at, node): whom a search goes on to from a node. Besides its own list these are the nearest `degree` of those that list it,
+    and those that it alone must lead to: every node is reached from that of its neighbours which the fewest list."""
+    ahead = edges.select(F.col("a").alias("at"), F.col("b").alias("node"), "near")
+    back = edges.select(F.col("b").alias("at"), F.col("a").alias("node"), "near")
+    listed = edges.groupBy("b").agg(F.count("*").alias("times"))
+    sought = edges.join(listed, "b").groupBy("a").agg(F.min(F.struct("times", "b")).alias("least"))
+    sought = sought.select(F.col("least.b").alias("at"), F.col("a").alias("node"))
+    return ahead.select("at", "node").union(_top(back, "at", [F.desc("near"), F.col("node")], degree).select("at", "node")).union(sought).distinct()
 
 
 # --- search ------------------------------------------------------------------------------------------------------------
 
 
 def search_graph(
-    edges: DataFrame, nodes: DataFrame, queries: DataFrame, entries: list[int], kind: str, beam: int = BEAM, expand: int = EXPAND, rounds: int = SEARCH_ROUNDS
+    lists: DataFrame, nodes: DataFrame, queries: DataFrame, entries: list[int], kind: str, beam: int = BEAM
 ) -> DataFrame:
-    """q, node, near: the beam of each query (one column q, names of nodes) after the greedy search.
+    """q, node, near: the beam of each query (one column q, names of nodes) after the greedy search over lists (at, node).
 
     Every search starts at the query's own node, its neighbours and the entries (a few nodes)."""
     bases = nodes.select("node", "base")
     asked = nodes.select(F.col("node").alias("q"), F.col("base").alias("query")).join(queries, "q", "left_semi")
-    lists = edges.select(F.col("a").alias("at"), F.col("b").alias("node"))
 
     @F.pandas_udf(DoubleType())
     def nearness(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -278,16 +296,56 @@ def search_graph(
     own = queries.select("q", F.explode(F.array_distinct(starts)).alias("node"))
     first = lists.join(queries, lists["at"] == queries["q"]).select("q", "node").union(own).distinct()
     state = materialize(_top(scored(first), "q", [F.desc("near"), F.col("node")], beam), "beam")
-    for _ in range(rounds):
-        turn = _top(state.where("not done"), "q", [F.desc("near"), F.col("node")], expand).select("q", "node")
+    for _ in range(MOST_ROUNDS):
+        turn = _top(state.where("not done"), "q", [F.desc("near"), F.col("node")], max(1, beam // EXPAND)).select("q", "node")
         marked = state.join(turn.withColumn("now", F.lit(True)), ["q", "node"], "left")
         marked = marked.select("q", "node", "near", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done"))
         new = turn.withColumnRenamed("node", "at").join(lists, "at").select("q", "node").distinct().join(state, ["q", "node"], "left_anti")
-        state = _top(marked.unionByName(scored(new)), "q", [F.desc("near"), F.col("node")], beam)
-        state = materialize(state, "beam")
+        state, before = materialize(_top(marked.unionByName(scored(new)), "q", [F.desc("near"), F.col("node")], beam), "beam"), state
+        discard(before)
         if state.where("not done").isEmpty():
-            break
-    return state.select("q", "node", "near")
+            return state.select("q", "node", "near")
+    raise RuntimeError(f"beams have not settled in {MOST_ROUNDS} rounds")
+
+
+def exact_search(nodes: DataFrame, queries: list[tuple[int, bytes]], k: int, kind: str) -> DataFrame:
+    """q, node, near: the k nearest nodes of a few queries, by comparing each with all nodes."""
+    names, v = np.array([q for q, _ in queries], dtype=np.int64), [base for _, base in queries]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        asked, best = _matrix(v, kind), None
+        for batch in batches:
+            for at in range(0, len(batch), 4096):
+                some = batch[at : at + 4096]
+                near, node = asked @ _matrix(some["base"].tolist(), kind).T, np.broadcast_to(some["node"].to_numpy(), (len(names), len(some)))
+                if best is not None:
+                    near, node = np.hstack([best[0], near]), np.hstack([best[1], node])
+                top = np.lexsort((node, -near), axis=1)[:, :k]
+                best = np.take_along_axis(near, top, axis=1), np.take_along_axis(node, top, axis=1)
+        if best is not None:
+            yield pd.DataFrame({"q": np.repeat(names, best[0].shape[1]), "node": best[1].ravel(), "near": best[0].ravel()})
+
+    found = nodes.select("node", "base").mapInPandas(run, "q bigint, node bigint, near double")
+    return _top(found, "q", [F.desc("near"), F.col("node")], k)
+
+
+def measured_beam(lists: DataFrame, nodes: DataFrame, queries: DataFrame, entries: list[int], kind: str, k: int, norm2: float) -> tuple[int, float]:
+    """The width of beams, doubled until the searches of a sample of queries find WANTED of their true k nearest, and what they found."""
+    sample = queries.orderBy(F.xxhash64("q"), "q").limit(SAMPLE)
+    sample = materialize(sample.join(nodes, sample["q"] == nodes["node"]).select("q", "base"), "sampled-queries")
+    asked = [(r["q"], bytes(r["base"])) for r in sample.collect()]
+    if not asked:
+        return BEAM, 1.0
+    exact = exact_search(nodes, asked, k, kind).groupBy("q").agg(F.min("near").alias("last"), F.count("*").alias("n"))
+    exact = materialize(exact, "exact-neighbours")
+    count, beam = nodes.count(), max(BEAM, 2 * k)
+    while True:
+        beams = search_graph(lists, nodes, sample.select("q"), entries, kind, beam)
+        hits = beams.join(exact, "q").where(F.col("near") >= F.col("last") - ROUNDING * norm2).groupBy("q").agg(F.count("*").alias("hits"))
+        found = exact.join(hits, "q", "left").agg(F.avg(F.least(F.coalesce("hits", F.lit(0)), "n") / F.col("n"))).first()[0]
+        if found >= WANTED or beam >= count:
+            return beam, found
+        beam *= 4 if found < 0.8 else 2
 
 
 def nearest(
@@ -304,7 +362,10 @@ def nearest(
     asking = rows.where(is_query).distinct().join(classes.select("v", F.col("node").alias("q")), "v").select("id", "q")
     asking = materialize(asking, "asking")
     entries = [r["node"] for r in classes.orderBy(F.desc(_norm2(F.col("v"))), "node").limit(ENTRIES).select("node").collect()]
-    beams = search_graph(edges, nodes, asking.select("q").distinct(), entries, kind)
+    queries = materialize(asking.select("q").distinct(), "queries")
+    lists = materialize(both_ways(edges, degree), "graph-both-ways")
+    beam, _ = measured_beam(lists, nodes, queries, entries, kind, k + 1, norm2)
+    beams = search_graph(lists, nodes, queries, entries, kind, beam)
     # besides the best, all that rounding may have put behind the last of those that count
     place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("near"), "node"))
     last = F.min(F.when(F.col("place") <= k + 1, F.col("near"))).over(Window.partitionBy("q"))

@@ -71,8 +71,8 @@ def test_large_cells_are_dealt(spark, cell):
     rng = np.random.default_rng(4)
     center = rng.normal(size=8)
     rows = [(i, (center + 1e-3 * rng.normal(size=8)).astype(np.float32).tolist()) for i in range(400)]
-    got, want = found(frame_of(spark, rows), cell=cell), brute(rows, 20)
-    assert got.keys() == want.keys() and all(len(x) == 20 for x in got.values())
+    share = recall(frame_of(spark, rows), rows, cell=cell)
+    assert share.mean() >= 0.9
 
 
 def recall(frame, rows, **more):
@@ -113,3 +113,26 @@ def test_recall_with_one_long_row(spark):
     v[1] *= 1000
     share = recall(*vectors_of(spark, v), cell=128)
     assert share.mean() >= 0.95 and np.mean(share >= 0.9) >= 0.95
+
+
+def test_recall_of_independent_vectors_with_production_parameters(spark):
+    share = recall(*vectors_of(spark, np.random.default_rng(0).normal(size=(6000, 64))))
+    assert share.mean() >= 0.9
+
+
+def test_recall_of_clusters_with_production_parameters(spark):
+    rng = np.random.default_rng(9)
+    v = rng.normal(size=(40, 32))[rng.integers(40, size=4000)] + 0.3 * rng.normal(size=(4000, 32))
+    share = recall(*vectors_of(spark, v))
+    assert share.mean() >= 0.9
+
+
+def test_every_node_is_reached_and_descent_runs_on_small_tables(spark, monkeypatch):
+    turns = []
+    descend = N._descend
+    monkeypatch.setattr(N, "_descend", lambda *a: turns.append(a[5]) or descend(*a))
+    frame, rows = vectors_of(spark, np.random.default_rng(3).normal(size=(300, 8)))
+    assert recall(frame, rows).mean() >= 0.9 and turns
+    edges = spark.createDataFrame([(a, b, -float(abs(a - b))) for a in range(50) for b in range(3) if a != b], "a long, b long, near double")
+    lists = {(r.at, r.node) for r in N.both_ways(edges, 2).collect()}
+    assert {node for _, node in lists} == set(range(50)) and max(sum(at == x for at, _ in lists) for x in range(3, 50)) <= 4
