@@ -1,6 +1,6 @@
 """Text as columns: normalising, tokens, fingerprints, SimHash, overlaps, spans and payloads.
 
-Everything runs in the JVM but for Unicode compatibility composition (nfkc), SimHash and evidence offsets, which are Arrow UDFs.
+Everything runs in the JVM but for Unicode compatibility composition (nfkc) and SimHash, which are Arrow UDFs.
 The other functions take text that nfkc has been applied to where that matters.
 """
 
@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType
 
 from corpusloom.functions.fixed import QUESTION_LABELS, STOPWORDS
 
@@ -45,6 +45,16 @@ def nfkc(text: Column) -> Column:
     return F.coalesce(compose(F.when(text.rlike(UNSAFE), text)), text)
 
 
+def nfkc_all(texts: Column) -> Column:
+    """nfkc of each text of an array."""
+
+    @F.pandas_udf(ArrayType(StringType()))
+    def compose(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: None if v is None else [None if t is None else unicodedata.normalize("NFKC", t) for t in v])
+
+    return F.coalesce(compose(F.when(F.exists(texts, lambda t: t.rlike(UNSAFE)), texts)), texts)
+
+
 def with_nfkc(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: nfkc(F.col(c)) for c in columns})
 
@@ -82,8 +92,7 @@ def cleaning_operations(raw: Column, composed: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """Lower-case words of ASCII letters and digits; no white space is in one, so the text need not be cleaned for them."""
-    found = F.regexp_extract_all(_without_mark(text), F.lit(TOKEN), F.lit(0))
-    return F.transform(found, lambda x: F.lower(F.replace(x, F.lit("’"), F.lit("'"))))
+    return F.transform(F.regexp_extract_all(_without_mark(text), F.lit(TOKEN), F.lit(0)), _word_key)
 
 
 def comparison_key(text: Column) -> Column:
@@ -131,7 +140,7 @@ def repeated_ngram(words: Column, n: int = 8, times: int = 3) -> Column:
 
 #: Hashes whose bits are counted at once.
 SLICE = 1 << 16
-_ASCII_WORD = re.compile(r"[a-z0-9]+(?:['’][a-z0-9]+)?", re.IGNORECASE | re.ASCII)
+_ASCII_WORD = re.compile(TOKEN, re.ASCII)
 
 
 def shingles(text: str) -> list[str]:
@@ -209,35 +218,42 @@ def sentences(text: Column) -> Column:
     return F.split(text, r"(?<=[.!?])\s+")
 
 
-_WORD = re.compile(r"[a-z0-9]+(?:['’][a-z0-9]+)?", re.IGNORECASE)
-SPAN = StructType([StructField("start", IntegerType()), StructField("end", IntegerType())])
+def source_words(text: Column) -> Column:
+    """The words of a text as found, the gaps around them, and their keys with a space before, between and after."""
+    found = F.struct(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)).alias("words"), F.split(text, TOKEN, -1).alias("gaps"))
+    padded = lambda f: F.struct(f["words"].alias("words"), f["gaps"].alias("gaps"), _padded(f["words"]).alias("keys"))
+    return let(found, padded)
 
 
-def find_span(quote: str | None, source: str | None) -> tuple[int, int] | None:
-    """Offsets of the first run of source tokens that equals the quote's tokens, whatever stands between them."""
-    fold = lambda m: m.group().replace("’", "'").casefold()
-    sought = [fold(m) for m in _WORD.finditer(quote or "")]
-    places = list(_WORD.finditer(source or ""))
-    words = [fold(m) for m in places]
-    size, at = len(sought), -1
-    while size:
-        try:
-            at = words.index(sought[0], at + 1)
-        except ValueError:
-            return None
-        if words[at : at + size] == sought:
-            return places[at].start(), places[at + size - 1].end()
-    return None
+def _padded(words: Column) -> Column:
+    return F.concat(F.lit(" "), F.array_join(F.transform(words, _word_key), " "), F.lit(" "))
 
 
-def evidence_span(quote: Column, source: Column) -> Column:
-    @F.pandas_udf(SPAN)
-    def spans(quotes: pd.Series, sources: pd.Series) -> pd.DataFrame:
-        found = [find_span(q, s) or (None, None) for q, s in zip(quotes, sources, strict=True)]
-        return pd.DataFrame(found, columns=["start", "end"]).astype("Int32")
+def _word_key(word: Column) -> Column:
+    return F.lower(F.replace(word, F.lit("’"), F.lit("'")))
+
 
-    span = spans(quote, source)
-    return F.when(span["start"].isNotNull(), span)
+def span_in(quote: Column, source: Column) -> Column:
+    """(start, end) in code points of the first run of a source's words that equals the quote's words, whatever stands between
+    them; null without any. source: source_words()'s. The number of spaces before the place of the quote's keys in the source's
+    keys is the number of words before it; lengths of words and gaps up to there are the offset."""
+
+    def at_word(x: Column) -> Column:
+        length = lambda parts: F.aggregate(parts, F.lit(0), lambda n, part: n + F.length(part))
+        last = x["first"] + x["count"] - 1
+        upto = lambda i: length(F.slice(source["gaps"], F.lit(1), i + 1)) + length(F.slice(source["words"], F.lit(1), i))
+        return F.struct(upto(x["first"]).alias("start"), (upto(last) + F.length(F.get(source["words"], last))).alias("end"))
+
+    def sought(words: Column) -> Column:
+        before = F.substring(source["keys"], F.lit(1), F.position(_padded(words), source["keys"]))
+        spaces = F.length(before) - F.length(F.replace(before, F.lit(" "), F.lit("")))
+        return F.when((F.size(words) > 0) & (F.length(before) > 0), let(F.struct((spaces - 1).alias("first"), F.size(words).alias("count")), at_word))
+
+    return let(F.regexp_extract_all(quote, F.lit(TOKEN), F.lit(0)), sought)
+
+
+def evidence_span(quote: Column, source: Column) -> Column:
+    return let(source_words(F.coalesce(source, F.lit(""))), lambda s: span_in(F.coalesce(quote, F.lit("")), s))
 
 
 def json_payload(text: Column) -> Column:
