@@ -13,6 +13,7 @@ from corpusloom.functions import scores as S
 from corpusloom.functions import text as T
 from corpusloom.operators import audit, consensus, dedup, gates, generation, provenance, selection
 from corpusloom.plans import evaluation, training
+from corpusloom.sources.tables import table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -28,10 +29,6 @@ def query(sql: str | None = None):
     return register
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def joined(c) -> Column:
     return F.array_join(c, ",")
 
@@ -151,18 +148,6 @@ def simhash(spark, sf_dir):
     return rows.select("item_id", F.lower(F.lpad(F.hex("h"), 16, "0")).alias("simhash"))
 
 
-@query(_HASH + """, t AS (SELECT a.id, coalesce(u, 0) AS u FROM a LEFT JOIN s USING (id))
-SELECT x.id AS left_id, y.id AS right_id, bit_count(xor(x.u, y.u))::INTEGER AS distance FROM t x JOIN t y ON x.id < y.id
-WHERE bit_count(xor(x.u, y.u)) <= 14""")
-def near_duplicate_pairs(spark, sf_dir):
-    rows = table(spark, sf_dir, "benchmark").select("item_id", T.simhash(F.col("text")).alias("h"))
-    links = dedup.near_pairs(rows.select("h"), 14)
-    links = links.union(links.select("b", "a", "distance")).union(rows.select("h", "h", F.lit(0)).distinct())
-    left, right = rows.toDF("left_id", "a"), rows.toDF("right_id", "b")
-    found = left.join(links, "a").join(right, "b").where("left_id < right_id")
-    return found.select("left_id", "right_id", F.col("distance").cast("int").alias("distance"))
-
-
 # --- cleaning ----------------------------------------------------------------------------------------------------------
 
 
@@ -225,16 +210,16 @@ _LEGACY = rf"""
 WITH blocks AS (SELECT doc_id, unnest(string_split_regex(text, '\n')) AS raw, generate_subscripts(string_split_regex(text, '\n'), 1) AS pos FROM documents WHERE text IS NOT NULL)
 SELECT doc_id, pos::INTEGER AS line, {sql_clean("raw")} AS paragraph FROM blocks WHERE length({sql_clean("raw")}) BETWEEN 120 AND 6000
 AND length({sql_clean("raw")}) - length(replace({sql_clean("raw")}, ' ', '')) >= 10 AND NOT {sql_any(f"lower({sql_clean('raw')})", generation.LEGACY_BOILERPLATE)}
-AND NOT {sql_any(sql_clean("raw"), gates.MOJIBAKE)} AND NOT contains({sql_clean("raw")}, '|')
+AND NOT {sql_any(sql_clean("raw"), gates.MOJIBAKE)} AND NOT (contains({sql_clean("raw")}, '|') AND len(string_split({sql_clean("raw")}, ' ')) < 35)
 """
 
 
 @query(_LEGACY)
 def text_lines(spark, sf_dir):
-    """Usable lines of whole texts; where no line has a bar, which decides by its number of words."""
+    """Usable lines of whole texts."""
     rows = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "raw"))
     rows = rows.select("doc_id", (F.col("pos") + 1).alias("line"), T.clean_text(F.col("raw")).alias("paragraph"))
-    return rows.where(generation.useful_paragraph(F.col("paragraph")) & ~F.contains("paragraph", F.lit("|")))
+    return rows.where(generation.useful_paragraph(F.col("paragraph")))
 
 
 # --- questions and answers ---------------------------------------------------------------------------------------------
@@ -285,10 +270,8 @@ SELECT conv_id, turn, score::INTEGER AS score, (row_number() OVER (ORDER BY scor
 ORDER BY score DESC, conv_id, turn LIMIT 100""")
 def legacy_top_n(spark, sf_dir):
     """A top-100 report: the limit is the feature."""
-    rows = pairs(spark, sf_dir).where((F.length("question") >= 10) & F.length("answer").between(120, 6000))
-    rows = rows.where(~T.contains_any(F.lower("answer"), gates.LEGACY_PLACEHOLDERS))
-    score = S.row_quality(F.col("question"), F.col("answer"), F.lit(None).cast("string"), F.lit(0))
-    best = rows.select("conv_id", "turn", score.cast("int").alias("score")).orderBy(F.desc("score"), "conv_id", "turn").limit(100)
+    rows = gates.training_rows(pairs(spark, sf_dir))
+    best = rows.select("conv_id", "turn", F.col("score").cast("int").alias("score")).orderBy(F.desc("score"), "conv_id", "turn").limit(100)
     place = F.row_number().over(Window.orderBy(F.desc("score"), "conv_id", "turn"))
     return best.withColumn("place", place)
 
@@ -314,20 +297,6 @@ def sentence_split(spark, sf_dir):
 
 # --- provenance --------------------------------------------------------------------------------------------------------
 
-_LINES = rf"""
-WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents),
-p AS (SELECT doc_id::VARCHAR AS source, pos AS idx, doc_id * 100000 + pos AS line, {sql_clean("raw")} AS evidence, {sql_tokens("raw")} AS w FROM l),
-par AS (SELECT *, array_to_string(w, ' ') AS k, array_to_string(w[1:12], ' ') AS sig FROM p WHERE len(w) > 0),
-ans AS (SELECT item_id, {sql_tokens("text")} AS a FROM benchmark),
-asked AS (SELECT *, array_to_string(a, ' ') AS k, array_to_string(a[1:12], ' ') AS sig FROM ans),
-single AS (SELECT k, count(*) AS n, min(source) AS source, min(idx) AS idx FROM par GROUP BY k HAVING count(*) = 1),
-ex AS (SELECT item_id, s.source, s.idx FROM asked JOIN single s USING (k)),
-pairs AS (SELECT item_id, a, source, idx, line, w, coalesce(list_position(list_transform(list_zip(a[1:least(len(a), len(w))], w[1:least(len(a), len(w))]), lambda z: z[1] = z[2]), false) - 1, least(len(a), len(w))) AS c
-  FROM asked JOIN par USING (sig) WHERE item_id NOT IN (SELECT item_id FROM ex)),
-best AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY c / least(len(a), len(w))::DOUBLE DESC, floor(least(len(a), len(w)) / greatest(len(a), len(w))::DOUBLE * 10000) DESC, line) AS rn FROM pairs)
-"""
-
-
 def paragraph_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = documents(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "raw"))
     rows = rows.select(
@@ -337,26 +306,6 @@ def paragraph_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return provenance.paragraph_index(rows)
 
 
-def recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = T.with_nfkc(table(spark, sf_dir, "benchmark"), "text")
-    return provenance.match(items, paragraph_lines(spark, sf_dir), "item_id", "text")
-
-
-@query(_LINES + "SELECT item_id, source, idx::BIGINT AS paragraph_index FROM ex")
-def provenance_exact(spark, sf_dir):
-    return recovered(spark, sf_dir).where("method = 'exact'").select(F.col("id").alias("item_id"), "source", "paragraph_index")
-
-
-@query(_LINES + "SELECT item_id, source, idx::BIGINT AS paragraph_index FROM best WHERE rn = 1")
-def provenance_prefix(spark, sf_dir):
-    return recovered(spark, sf_dir).where("method <> 'exact'").select(F.col("id").alias("item_id"), "source", "paragraph_index")
-
-
-@query()
-def provenance_expand(spark, sf_dir):
-    return recovered(spark, sf_dir)
-
-
 @query("""SELECT b.item_id, d.doc_id, (strpos(d.text, b.text) - 1)::INTEGER AS start_at, (strpos(d.text, b.text) - 1 + length(b.text))::INTEGER AS end_at
 FROM documents d JOIN benchmark b ON contains(d.text, b.text)""")
 def verbatim_spans(spark, sf_dir):
@@ -629,3 +578,6 @@ def source_shortfalls(spark, sf_dir):
     """By language, what its sources lack of a floor of five documents."""
     rows = table(spark, sf_dir, "documents").where("lang is not null and source is not null").groupBy("lang", "source").agg(F.count("*").alias("n"))
     return rows.groupBy("lang").agg(F.sum(F.greatest(F.lit(0), 5 - F.col("n"))).cast("bigint").alias("missing"))
+
+
+from corpusloom import catalogue_more  # noqa: E402, F401  (registers its queries)

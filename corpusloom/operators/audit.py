@@ -6,7 +6,7 @@ import hashlib
 import json
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators.gates import reasons
@@ -67,6 +67,12 @@ def best_experiment(metrics: DataFrame, loss: str = "eval_loss") -> DataFrame:
     return metrics.agg(F.min_by(F.struct("*"), F.coalesce(loss, F.lit(float("inf")))).alias("r")).select("r.*")
 
 
+def loss_curves(metrics: DataFrame, key: str = "experiment", epoch: str = "epoch", loss: str = "eval_loss") -> DataFrame:
+    """Each experiment's points (epoch, loss) with their places in order of epochs; points without a loss are left out."""
+    place = F.row_number().over(Window.partitionBy(key).orderBy(epoch))
+    return metrics.where(F.col(loss).isNotNull()).select(key, place.alias("place"), epoch, loss)
+
+
 def join_metrics(metadata: DataFrame, metrics: DataFrame, key: str = "experiment", step: str = "step") -> DataFrame:
     """Each experiment with its evaluations in order, one for each step."""
     once = metrics.dropDuplicates([key, step])
@@ -75,4 +81,4 @@ def join_metrics(metadata: DataFrame, metrics: DataFrame, key: str = "experiment
     return metadata.join(lists, key, "left")
 
 
-__all__ = ["best_experiment", "canonical_sha256", "checks", "join_metrics", "reasons", "require", "seal", "status", "status_matrix", "summary"]
+__all__ = ["best_experiment", "canonical_sha256", "checks", "join_metrics", "loss_curves", "reasons", "require", "seal", "status", "status_matrix", "summary"]

@@ -173,6 +173,16 @@ def legacy_validate(pairs: DataFrame, question: str = "question", answer: str =
     return rows.join(firsts, "_key", "left").withColumn("reason", F.when(late, "duplicate").otherwise(F.col("reason"))).drop("_key", "_first")
 
 
+def training_rows(pairs: DataFrame, question: str = "question", answer: str = "answer", source: str | None = None, mojibake: str | None = None) -> DataFrame:
+    """The pairs fit for training (a question of 10 characters, an answer of 120 to 6000 without placeholders), with their score."""
+    from corpusloom.functions import scores as S
+
+    q, a = F.col(question), F.col(answer)
+    fit = (F.length(q) >= 10) & F.length(a).between(120, 6000) & ~T.contains_any(F.lower(a), LEGACY_PLACEHOLDERS)
+    origin = F.col(source) if source else F.lit(None).cast("string")
+    return pairs.where(fit).withColumn("score", S.row_quality(q, a, origin, F.col(mojibake) if mojibake else F.lit(0)))
+
+
 def canonical_pair(question: str = "question", answer: str = "answer", **rest: str) -> list[Column]:
     """The canonical columns of a legacy pair; rest: input, source_file and paragraph_index columns, null where absent."""
     bare = lambda c: T.strip(F.coalesce(F.col(c), F.lit("")))

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from corpusloom.functions import text as T
+
 CORRUPT = "_corrupt"
 
 
@@ -46,6 +48,19 @@ def read_lenient(spark: SparkSession, path: str, schema: StructType | str) -> Da
     return parsed_lines(spark, path, schema).where("row is not null").select("line_no", "row.*")
 
 
+def read_inputs(spark: SparkSession, path: str, schema: StructType | str, text: str = "text", least: int = 160) -> DataFrame:
+    """As read_lenient, only rows whose text has `least` characters at least without white space at its ends."""
+    return read_lenient(spark, path, schema).where(F.length(T.strip(F.col(text))) >= least)
+
+
+def line_count(spark: SparkSession, path: str) -> int:
+    """Lines of a text file or folder of them, 0 where there is none."""
+    try:
+        return spark.read.text(path).count()
+    except AnalysisException:
+        return 0
+
+
 def read_audited(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """As read_strict, with a last column error: invalid_json, or null."""
     error = F.when(F.col("row").isNull(), "invalid_json")
