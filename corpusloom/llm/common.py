@@ -2,27 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusloom.sources.tables import discard, shared_folder, table
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a temporary folder if all run in
-    one process (tests), else an error: executors would not see each other's files."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        context = spark.sparkContext
-        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
-        context.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/corpusloom/{spark.sparkContext.applicationId}"
+__all__ = ["discard", "fresh_path", "kept", "materialize", "shared_folder", "table"]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -39,14 +25,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return found
 
 
-def discard(df: DataFrame) -> None:
-    """Remove what materialize() wrote, once no result reads it any more (a round's table after the next one's is written)."""
-    spark, path = df.sparkSession, getattr(df, "written_path", None)
-    if path:
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
-
-
 #: What a worker process keeps between tasks, by kind; one value each.
 _kept: dict = {}
 
