@@ -26,8 +26,8 @@ ORDERS = 3
 BUCKETS = 1 << 16
 TRAIN_DOCS = 4000
 SMOOTHING = 0.5
-#: Characters scored at once.
-CHUNK = 1 << 20
+#: Numbers gathered at once: characters times languages. A longer text is scored in slices.
+GATHERED = 1 << 22
 UNKNOWN = "und"
 
 _WORDS = re.compile(r"[^\W\d_]+").findall
@@ -66,6 +66,15 @@ class Model:
             return names, scores
         held: list[str] = []
         owners: list[int] = []
+        chunk = max(1, GATHERED // len(self.languages))
+
+        def decide(total: np.ndarray, owners: list[int]) -> None:
+            total = total + self.prior
+            best = total.argmax(axis=1)
+            chance = np.exp(total - total.max(axis=1, keepdims=True))
+            chance = chance.max(axis=1) / chance.sum(axis=1)
+            for i, b, c in zip(owners, best.tolist(), chance.tolist(), strict=True):
+                names[i], scores[i] = self.languages[b], c
 
         def flush() -> None:
             sizes = np.fromiter(map(len, held), np.int64, len(held))
@@ -77,27 +86,32 @@ class Model:
                 for back in range(1, n + 1):
                     gathered[starts[1:] - back] = 0
                 total += np.add.reduceat(gathered, np.minimum(starts, len(gathered) - 1), axis=0, dtype=np.float64)
-            total += self.prior
-            best = total.argmax(axis=1)
-            chance = np.exp(total - total.max(axis=1, keepdims=True))
-            chance = chance.max(axis=1) / chance.sum(axis=1)
-            for i, b, c in zip(owners, best.tolist(), chance.tolist(), strict=True):
-                names[i], scores[i] = self.languages[b], c
+            decide(total, owners)
             held.clear(), owners.clear()
 
         size = 0
         for i, text in enumerate(texts):
             plain = letters(text)
-            if plain:
+            if len(plain) > chunk:
+                decide(self._sliced(plain, chunk)[None, :], [i])
+            elif plain:
                 held.append(plain), owners.append(i)
                 size += len(plain)
-                if size >= CHUNK:
+                if size >= chunk:
                     flush()
                     size = 0
         if held:
             flush()
         return names, scores
 
+    def _sliced(self, plain: str, chunk: int) -> np.ndarray:
+        """Log probability of a text by language, by slices of n-grams that begin in the same `chunk` characters."""
+        total = np.zeros(len(self.languages))
+        for at in range(0, len(plain), chunk):
+            for buckets in ngram_buckets(plain[at : at + chunk + ORDERS - 1]):
+                total += self.table[buckets[:chunk]].sum(axis=0, dtype=np.float64)
+        return total
+
 
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """A model of the labelled documents; those with a null label or text are left out."""

@@ -5,8 +5,8 @@ four bands; two values at distance 2 or less agree in at least two bands, so six
 every link. In a table, values that share a key are sorted by Gray rank and become leaves of a hierarchical index: a node
 keeps the bits that all of its values share (mask and pattern), an upper node those that its children share. Two nodes whose
 shared bits differ in more than the limit are pruned with everything below them. Each task unites what it links and returns
-one edge a value at most (a spanning forest), never the pairs of a group. Keys that are shared by very many values are dealt
-to more tasks, each with a part of the values against all of them in slices, so that no group is collected whole.
+one edge a value at most (a spanning forest), never the pairs of a group. The values of a key that very many share are set
+apart again by three ranges of their other bits, of which two values at distance 2 or less agree in one.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ MAX_BITS = 2
 BANDS = 4
 LEAF = 16
 FANOUT = 4
-#: A key with more distinct values than this is split by the bands that it does not hold (each half or quarter again).
+#: A key with more distinct values than this is split by ranges of its 32 other bits.
 HOT_KEY = 4096
 #: Shingles whose bits are unpacked at once.
 CHUNK = 1 << 16
@@ -228,7 +228,7 @@ def fingerprint_edges(distinct: DataFrame, limit: int = MAX_BITS, hot_key: int =
     """Edges (a, b) between distinct fingerprints; their components are those of all links. distinct: one column fp."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = np.empty(0, dtype=np.uint64)
+        held: list[np.ndarray] = []
         at = None
         for batch in batches:
             keys = batch[["t", "k", "u"]].to_numpy()
@@ -240,13 +240,12 @@ def fingerprint_edges(distinct: DataFrame, limit: int = MAX_BITS, hot_key: int =
                     continue
                 key = tuple(keys[s])
                 if key != at:
-                    found.append(group_edges(held, limit))
-                    held, at = values[s:e], key
-                else:
-                    held = np.concatenate([held, values[s:e]])
+                    found.append(group_edges(np.concatenate(held or [values[:0]]), limit))
+                    held, at = [], key
+                held.append(values[s:e])
             out = np.concatenate(found) if found else np.empty((0, 2), dtype=np.uint64)
             yield pd.DataFrame({"a": out[:, 0].view(np.int64) if len(out) else [], "b": out[:, 1].view(np.int64) if len(out) else []}).astype("int64")
-        out = group_edges(held, limit)
+        out = group_edges(np.concatenate(held or [np.empty(0, dtype=np.uint64)]), limit)
         yield pd.DataFrame({"a": out[:, 0].copy().view(np.int64), "b": out[:, 1].copy().view(np.int64)})
 
     rows = _split_hot(_keyed(distinct), hot_key)

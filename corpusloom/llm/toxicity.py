@@ -333,7 +333,8 @@ def fit(
     chosen = chosen[0].union(chosen[1])
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.length("text") > 0)
     rows = rows.join(F.broadcast(chosen), "id")  # at most 2 * train_docs rows
-    sizes = rows.select("id", "label", F.length("text").alias("n"), F.xxhash64("text").alias("h")).distinct().collect()
+    # one text for each chosen id, should it be repeated: at most 2 * train_docs rows
+    sizes = rows.groupBy("id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), F.length("text").alias("n"))).alias("r")).select("id", "r.*").collect()
     sizes.sort(key=lambda r: (zlib.crc32(str(r["id"]).encode()), r["h"]))
     kept_, total = [], 0
     for r in sizes:

@@ -21,6 +21,16 @@ def test_batch_is_the_sum_over_ngrams():
     assert [names[i] for i in (0, 1, 2, 5)] == ["und"] * 4
 
 
+def test_very_long_texts_are_scored_in_slices(monkeypatch):
+    rng = np.random.default_rng(1)
+    model = L.Model(["a", "b", "c"], np.log(rng.random((L.BUCKETS, 3))).astype(np.float32), np.log([0.3, 0.3, 0.4]))
+    texts = ["".join(rng.choice(list("abc défg"), size=n)) for n in (1, 9, 10, 11, 40, 3000, 7)]
+    want = model.predict(texts)
+    monkeypatch.setattr(L, "GATHERED", 30)
+    got = model.predict(texts)
+    assert got[0] == want[0] and np.allclose(got[1], want[1])
+
+
 def test_rows(spark):
     rows = [(i, (EN if i % 2 else DE) * (1 + i % 3), "en" if i % 2 else "de") for i in range(40)]
     docs = spark.createDataFrame([*rows, (40, None, "en"), (41, "", None), (42, EN, None), (42, EN, None)], "doc_id long, text string, lang string")
