@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
-from corpusloom.sources.tables import checkpointed
+from corpusloom.sources.tables import checkpointed, discard
 
 
 @dataclass(frozen=True)
@@ -65,10 +65,11 @@ def near_pairs(values: DataFrame, distance: int, spare: int | None = None) -> Da
     return pairs.where(first).select("a", "b", bits.alias("distance"))
 
 
-def greedy_deduplicate(rows: DataFrame, id_col: str, order: list[Column], rules: list[Rule], max_rounds: int = 50) -> DataFrame:
+def greedy_deduplicate(rows: DataFrame, id_col: str, order: list[Column], rules: list[Rule]) -> DataFrame:
     """rows with duplicate_reason, duplicate_of (id of the kept row) and duplicate_distance; null for kept rows.
 
-    order: columns whose ascending order is the rank (negate a number to turn it round); it must be total. Of several reasons the first in rules counts; of several near rows the nearest, then the least id.
+    order: columns whose ascending order is the rank (negate a number to turn it round); it must be total. Every round decides
+    the first undecided row of each chain of conflicts at least, so rounds end, and replaces the last one's table. Of several reasons the first in rules counts; of several near rows the nearest, then the least id.
     """
     rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
     base = checkpointed(rows.select(F.col(id_col).alias("id"), rank.alias("rank"), *{r.column for r in rules}))
@@ -76,17 +77,16 @@ def greedy_deduplicate(rows: DataFrame, id_col: str, order: list[Column], rules:
     near = [r for r in rules if r.distance is not None]
     links = {r.name: checkpointed(_both_ways(near_pairs(base.select(r.column), r.distance))) for r in near}
     state = base.withColumn("kept", F.lit(None).cast("boolean"))
-    for _ in range(max_rounds):
+    undecided, last = True, state
+    while undecided:
         blocked, beaten = _standing(state, exact, near, links)
         state = state.join(blocked, "id", "left").join(beaten, "id", "left")
-        undecided = F.col("kept").isNull()
-        kept = F.when(undecided & F.coalesce("beaten", F.lit(False)), False)
-        kept = kept.when(undecided & ~F.coalesce("blocked", F.lit(False)), True).otherwise(F.col("kept"))
-        state = checkpointed(state.select(*base.columns, kept.alias("kept")))
-        if state.where("kept is null").isEmpty():
-            break
-    else:
-        raise RuntimeError(f"not decided after {max_rounds} rounds")
+        open_ = F.col("kept").isNull()
+        kept = F.when(open_ & F.coalesce("beaten", F.lit(False)), False)
+        kept = kept.when(open_ & ~F.coalesce("blocked", F.lit(False)), True).otherwise(F.col("kept"))
+        state, before = checkpointed(state.select(*base.columns, kept.alias("kept"))), last
+        discard(before)
+        undecided, last = not state.where("kept is null").isEmpty(), state
     return rows.join(_explained(state, rules, links), rows[id_col] == F.col("_id"), "left").drop("_id")
 
 
