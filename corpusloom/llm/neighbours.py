@@ -13,8 +13,8 @@ Who is introduced is a sample by hash of at most PART of each sort, the only bou
 indexed. Vectors travel only to nodes that have a new neighbour to introduce.
 
 Search: each query keeps a beam of nodes, starting from its own neighbours; each round the neighbours of its best unexpanded
-ones are scored, until no beam has an unexpanded node. How wide beams must be depends on the vectors (256 nodes do where they
-have clusters, thousands in independent noise), so the index measures it: SAMPLE queries, the first by hash, are compared with
+ones are scored, until no beam has an unexpanded node. How wide beams must be depends on the vectors (some hundred nodes at the
+sizes measured), so the index measures it: SAMPLE queries, the first by hash, are compared with
 all nodes exactly, and beams are doubled until their searches find WANTED of the true neighbours.
 
 Defined results: null vectors and ids, zero vectors, those with null or non-finite components and those of a length other
@@ -42,9 +42,11 @@ START = 16
 PART = 12
 GIVEN = 12
 CHANGED = 0.05
-BEAM = 256
+BEAM = 128
 #: A beam's nodes that are expanded in one round: this part of it.
-EXPAND = 4
+EXPAND = 2
+#: Nodes that list a node and that a search goes on to from it, besides those that it alone must lead to.
+BACK = 16
 SAMPLE = 64
 WANTED = 0.93
 RESCORED = 64
@@ -259,15 +261,15 @@ def build_graph(nodes: DataFrame, kind: str, norm2: float, degree: int = DEGREE,
     raise RuntimeError(f"the graph has not settled in {MOST_ROUNDS} rounds")
 
 
-def both_ways(edges: DataFrame, degree: int = DEGREE) -> DataFrame:
-    """(at, node): whom a search goes on to from a node. Besides its own list these are the nearest `degree` of those that list it,
+def both_ways(edges: DataFrame, back: int = BACK) -> DataFrame:
+    """(at, node): whom a search goes on to from a node. Besides its own list these are the nearest `back` of those that list it,
     and those that it alone must lead to: every node is reached from that of its neighbours which the fewest list."""
     ahead = edges.select(F.col("a").alias("at"), F.col("b").alias("node"), "near")
-    back = edges.select(F.col("b").alias("at"), F.col("a").alias("node"), "near")
+    behind = edges.select(F.col("b").alias("at"), F.col("a").alias("node"), "near")
     listed = edges.groupBy("b").agg(F.count("*").alias("times"))
     sought = edges.join(listed, "b").groupBy("a").agg(F.min(F.struct("times", "b")).alias("least"))
     sought = sought.select(F.col("least.b").alias("at"), F.col("a").alias("node"))
-    return ahead.select("at", "node").union(_top(back, "at", [F.desc("near"), F.col("node")], degree).select("at", "node")).union(sought).distinct()
+    return ahead.select("at", "node").union(_top(behind, "at", [F.desc("near"), F.col("node")], back).select("at", "node")).union(sought).distinct()
 
 
 # --- search ------------------------------------------------------------------------------------------------------------
@@ -363,7 +365,7 @@ def nearest(
     asking = materialize(asking, "asking")
     entries = [r["node"] for r in classes.orderBy(F.desc(_norm2(F.col("v"))), "node").limit(ENTRIES).select("node").collect()]
     queries = materialize(asking.select("q").distinct(), "queries")
-    lists = materialize(both_ways(edges, degree), "graph-both-ways")
+    lists = materialize(both_ways(edges), "graph-both-ways")
     beam, _ = measured_beam(lists, nodes, queries, entries, kind, k + 1, norm2)
     beams = search_graph(lists, nodes, queries, entries, kind, beam)
     # besides the best, all that rounding may have put behind the last of those that count
