@@ -43,7 +43,8 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def byte_bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens of every document, and digests of its ids and of what they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return byte_bpe.round_trip(docs, path, public_tokenizers.PATTERN)
+    # workers of the stages before still hold their tables: smaller blocks, which fold more words, for the memory
+    return byte_bpe.round_trip(docs, path, public_tokenizers.PATTERN, block_words=1 << 18)
 
 
 STAGES = [
