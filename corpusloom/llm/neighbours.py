@@ -1,21 +1,24 @@
-"""Approximate nearest neighbours by inner product: a graph built by NN-descent, searched greedily.
+"""Approximate nearest neighbours by inner product: cells of near vectors, a graph of the cells built by NN-descent, searched greedily.
 
 Equal vectors are one node, named by their least id; the KEEP least ids of each are kept, which is all that a list of KEEP - 1
 neighbours can need. Nodes are lengthened by one component to equal norms, so nearness (minus the squared distance then) is
-symmetric while the graph is built; searches go by inner products. Vectors are kept as they are given (32 or 64 bits) and
+symmetric while the index is built; searches go by inner products. Vectors are kept as they are given (32 or 64 bits) and
 compared in double precision everywhere, so neither tight groups nor a few long rows blur what is nearer.
 
-Build: random hyperplanes cut the nodes into cells of about CELL, in TREES ways; larger cells are halved at the median along
-further directions (and dealt where even that leaves them large). The START nearest in each cell begin the lists of DEGREE
-neighbours. Then, whatever the size of the table, NN-descent rounds follow until few lists change: a node introduces its
-neighbours and some of those that list it to each other, in Spark joins, and pairs better than what a member lists replace it.
-Who is introduced is a sample by hash of at most PART of each sort, the only bound, and one of the index: every row is
-indexed. Vectors travel only to nodes that have a new neighbour to introduce.
+Cells: centres are fitted by k-means on a sample of nodes by hash (SAMPLED a centre, bounded in rows and bytes, the only
+sample of the index); then every node goes to the cell of its nearest centre. A centre stands for `cell` nodes, and for more
+where MOST_CELLS centres are not enough. Near cells share a shard, which is what one task holds.
 
-Search: each query keeps a beam of nodes, starting from its own neighbours; each round the neighbours of its best unexpanded
-ones are scored, until no beam has an unexpanded node. How wide beams must be depends on the vectors (some hundred nodes at the
-sizes measured), so the index measures it: SAMPLE queries, the first by hash, are compared with
-all nodes exactly, and beams are doubled until their searches find WANTED of the true neighbours.
+Graph: random hyperplanes deal the centres in TREES ways, and the START nearest of each part begin the lists of DEGREE
+neighbours. Then, however few the centres, NN-descent rounds follow until few lists change: a centre introduces its neighbours
+and some of those that list it to each other, in Spark joins, and pairs better than what a member lists replace it.
+
+Search: each query keeps a beam of cells, starting from its own; each round the neighbours of its best unexpanded cells are
+scored, until the beam has no unexpanded cell. All nodes of the beam's cells are compared with the query, by matrix
+products in the tasks that hold the shards: a query goes to a shard as one row, not once for each node. The query's nearest shard comes
+first, and only nodes that reach the k-th best found there are taken from the others, which loses none. How wide beams
+must be depends on the vectors, so the index measures it: the neighbours of SAMPLE queries, the first by hash, are found
+exactly, and beams are widened until their cells hold WANTED of them. A beam of all cells is an exact search.
 
 Defined results: null vectors and ids, zero vectors, those with null or non-finite components and those of a length other
 than the commonest (the greatest of equally common ones) take no part; where there are fewer candidates all are listed;
@@ -24,40 +27,54 @@ ties go to smaller ids; repeated ids are separate candidates only if their vecto
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import FloatType
 
 from .common import discard, materialize
 
 K = 20
+#: Nodes of a cell on average, cells at most, and sampled nodes a centre, at most and in bytes.
+CELL = 64
+MOST_CELLS = 8192
+SAMPLED = 8
+SAMPLE_BYTES = 64 << 20
+#: Turns of k-means.
+TURNS = 3
+#: Bytes of a shard's vectors.
+SHARD_BYTES = 64 << 20
 DEGREE = 32
-CELL = 512
+GRAPH_CELL = 512
 TREES = 8
 START = 16
 PART = 12
 GIVEN = 12
 CHANGED = 0.05
-BEAM = 128
-#: A beam's nodes that are expanded in one round: this part of it.
+#: Cells of a beam at least; measured beams are wider.
+BEAM = 32
+#: A beam's cells that are expanded in one round: this part of it.
 EXPAND = 2
-#: Nodes that list a node and that a search goes on to from it, besides those that it alone must lead to.
+#: Cells that list a cell and that a search goes on to from it, besides those that it alone must lead to.
 BACK = 16
 SAMPLE = 64
-WANTED = 0.93
+WANTED = 0.95
+#: Found nodes of a query in a shard that are kept, at most, where rounding leaves open which are the best.
 RESCORED = 64
-#: Rounds after which building or searching raises, a safety: either ends far before.
+#: Rounds after which building raises, a safety: it ends far before.
 MOST_ROUNDS = 100
 #: Halvings of cells that the hyperplanes leave large, at most.
 HALVINGS = 32
 #: Rounding error of an inner product, as a part of the greatest squared norm.
 ROUNDING = 1e-12
-#: Nodes of the greatest norms, from which every search starts too: near many queries though few nodes list them.
+#: Cells of the greatest centres, from which every search starts too: near many queries though few cells list them.
 ENTRIES = 32
+#: Queries that walk the graph together, and that a shard is compared with together; found pairs held before the best are kept.
+WALKED, ASKED, HELD = 256, 2048, 1 << 20
 
 
 def _top(rows: DataFrame, key: str | list[str], order: list[Column], k: int) -> DataFrame:
@@ -66,8 +83,14 @@ def _top(rows: DataFrame, key: str | list[str], order: list[Column], k: int) ->
     return rows.withColumn("_place", place).where(F.col("_place") <= k).drop("_place")
 
 
+def _kind(vectors: DataFrame, vector_col: str) -> str:
+    """The numpy type in which vectors are kept."""
+    return "<f4" if isinstance(getattr(vectors.schema[vector_col].dataType, "elementType", None), FloatType) else "<f8"
+
+
 def _valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    kind = "float" if _kind(vectors, vector_col) == "<f4" else "double"
+    rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast(f"array<{kind}>").alias("v"))
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists("v", lambda x: x != 0)
     rows = rows.where(F.col("id").isNotNull() & F.col("v").isNotNull() & F.coalesce(fine, F.lit(False)))
     length = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
@@ -82,17 +105,7 @@ def _classes(rows: DataFrame, keep: int) -> DataFrame:
 
 
 def _norm2(v: Column) -> Column:
-    return F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)
-
-
-def _packed(classes: DataFrame, kind: str) -> DataFrame:
-    """node and base: the components as bytes of a numpy type."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"node": batch["node"], "base": [np.asarray(v).astype(kind).tobytes() for v in batch["v"]]})
-
-    return classes.select("node", "v").mapInPandas(run, "node bigint, base binary")
+    return F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
 
 
 def _matrix(data: list[bytes], kind: str) -> np.ndarray:
@@ -111,7 +124,95 @@ def _near(v: np.ndarray, w: np.ndarray, norm2: float | None) -> np.ndarray:
     return -(np.maximum(a + b - 2 * dot, 0.0) + step * step)
 
 
-# --- building ----------------------------------------------------------------------------------------------------------
+# --- cells -------------------------------------------------------------------------------------------------------------
+
+
+def _lengthened(v: np.ndarray, norm2: float) -> np.ndarray:
+    return np.hstack([v, np.sqrt(np.maximum(norm2 - (v * v).sum(axis=1), 0.0))[:, None]])
+
+
+def _nearest_centres(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The nearest centre of each lengthened vector."""
+    out, half = np.empty(len(x), dtype=np.int64), (centres * centres).sum(axis=1) / 2
+    for at in range(0, len(x), 1024):
+        out[at : at + 1024] = (x[at : at + 1024] @ centres.T - half).argmax(axis=1)
+    return out
+
+
+def _dealt(centres: np.ndarray, weights: np.ndarray, shards: int) -> np.ndarray:
+    """A shard of each centre: halves along the direction of most spread, of equal weight, down to one shard."""
+    out, todo, used = np.zeros(len(centres), dtype=np.int32), [(np.arange(len(centres)), shards)], 0
+    while todo:
+        own, parts = todo.pop()
+        if parts <= 1 or len(own) <= 1:
+            out[own], used = used, used + 1
+            continue
+        x = centres[own] - centres[own].mean(axis=0)
+        along = np.linalg.eigh(x.T @ x)[1][:, -1]
+        own = own[np.argsort(x @ along, kind="stable")]
+        left = parts // 2
+        cut = np.searchsorted(np.cumsum(weights[own]), weights[own].sum() * left / parts)
+        cut = min(max(1, int(cut)), len(own) - 1)
+        todo += [(own[:cut], left), (own[cut:], parts - left)]
+    return out
+
+
+class Cells:
+    """Centres of lengthened vectors about their mean, and the shard of each."""
+
+    def __init__(self, sample: np.ndarray, count: int, norm2: float, shards: int):
+        self.norm2 = norm2
+        x = _lengthened(sample, norm2)
+        self.mean = x.mean(axis=0)
+        x -= self.mean
+        self.centres = x[np.random.default_rng(7).permutation(len(x))[:count]]
+        for _ in range(TURNS):
+            own = _nearest_centres(x, self.centres)
+            order = np.argsort(own, kind="stable")
+            some, starts = np.unique(own[order], return_index=True)
+            sums = np.add.reduceat(x[order], starts, axis=0)
+            self.centres[some] = sums / np.diff([*starts, len(x)])[:, None]
+        weights = np.bincount(_nearest_centres(x, self.centres), minlength=len(self.centres)) + 1e-3
+        self.shard = _dealt(self.centres, weights, shards)
+
+    def of(self, v: np.ndarray) -> np.ndarray:
+        return _nearest_centres(_lengthened(v, self.norm2) - self.mean, self.centres)
+
+    def given(self) -> np.ndarray:
+        """The centres without the added component."""
+        return (self.centres + self.mean)[:, :-1]
+
+
+def fit_cells(classes: DataFrame, count: int, norm2: float, cell: int, kind: str) -> Cells:
+    """Cells fitted on a sample of the classes by hash."""
+    size = np.dtype(kind).itemsize * len(classes.first()["v"])
+    cells = min(MOST_CELLS, math.ceil(count / cell))
+    rows = min(count, max(cells, min(SAMPLED * cells, SAMPLE_BYTES // size)))
+    part = math.ceil(rows / count * (1 << 30))
+    sample = classes.where(F.pmod(F.xxhash64("node", F.lit(5)), F.lit(1 << 30)) < part).orderBy("node").select("v").toArrow()
+    v = np.array(sample["v"].combine_chunks().flatten(), dtype=np.float64).reshape(sample.num_rows, -1)
+    if not len(v):  # so few rows that none is taken
+        v = np.array([classes.first()["v"]], dtype=np.float64)
+    cores = classes.sparkSession.sparkContext.defaultParallelism
+    return Cells(v, min(cells, len(v)), norm2, max(math.ceil(count * size / SHARD_BYTES), 2 * cores))
+
+
+def _members(classes: DataFrame, cells: Cells, kind: str) -> DataFrame:
+    """node, base (the components as bytes of a numpy type), cell and shard of every class."""
+    sent = classes.sparkSession.sparkContext.broadcast(cells)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            base = [np.asarray(v).astype(kind).tobytes() for v in batch["v"]]
+            cell = sent.value.of(_matrix(base, kind))
+            yield pd.DataFrame({"node": batch["node"], "base": base, "cell": cell.astype(np.int32), "shard": sent.value.shard[cell]})
+
+    return classes.select("node", "v").mapInPandas(run, "node bigint, base binary, cell int, shard int")
+
+
+# --- the graph of cells ------------------------------------------------------------------------------------------------
 
 
 def _cells(nodes: DataFrame, count: int, cell: int, trees: int, kind: str) -> DataFrame:
@@ -249,7 +350,7 @@ def _descend(edges: DataFrame, nodes: DataFrame, degree: int, part: int, given:
     return _top(both, "a", [F.desc("near"), F.col("b")], degree)
 
 
-def build_graph(nodes: DataFrame, kind: str, norm2: float, degree: int = DEGREE, cell: int = CELL, trees: int = TREES, part: int = PART) -> DataFrame:
+def build_graph(nodes: DataFrame, kind: str, norm2: float, degree: int = DEGREE, cell: int = GRAPH_CELL, trees: int = TREES, part: int = PART) -> DataFrame:
     """Edges (a, b, near): the neighbours that each node lists. nodes: node, base (of numpy type kind); norm2: the greatest squared norm."""
     count = nodes.count()
     edges = materialize(_first_edges(nodes, count, degree, cell, trees, START, kind, norm2), "graph")
@@ -275,43 +376,173 @@ def both_ways(edges: DataFrame, back: int = BACK) -> DataFrame:
 # --- search ------------------------------------------------------------------------------------------------------------
 
 
-def search_graph(
-    lists: DataFrame, nodes: DataFrame, queries: DataFrame, entries: list[int], kind: str, beam: int = BEAM
-) -> DataFrame:
-    """q, node, near: the beam of each query (one column q, names of nodes) after the greedy search over lists (at, node).
-
-    Every search starts at the query's own node, its neighbours and the entries (a few nodes)."""
-    bases = nodes.select("node", "base")
-    asked = nodes.select(F.col("node").alias("q"), F.col("base").alias("query")).join(queries, "q", "left_semi")
-
-    @F.pandas_udf(DoubleType())
-    def nearness(left: pd.Series, right: pd.Series) -> pd.Series:
-        if not len(left):
-            return pd.Series([], dtype=np.float64)
-        return pd.Series(np.einsum("ij,ij->i", _matrix(left.tolist(), kind), _matrix(right.tolist(), kind)))
-
-    def scored(pairs: DataFrame) -> DataFrame:
-        rows = pairs.join(bases, "node").join(asked, "q")
-        return rows.select("q", "node", nearness("query", "base").alias("near")).withColumn("done", F.lit(False))
-
-    starts = F.array(F.col("q"), *(F.lit(e).cast("bigint") for e in entries))
-    own = queries.select("q", F.explode(F.array_distinct(starts)).alias("node"))
-    first = lists.join(queries, lists["at"] == queries["q"]).select("q", "node").union(own).distinct()
-    state = materialize(_top(scored(first), "q", [F.desc("near"), F.col("node")], beam), "beam")
-    for _ in range(MOST_ROUNDS):
-        turn = _top(state.where("not done"), "q", [F.desc("near"), F.col("node")], max(1, beam // EXPAND)).select("q", "node")
-        marked = state.join(turn.withColumn("now", F.lit(True)), ["q", "node"], "left")
-        marked = marked.select("q", "node", "near", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done"))
-        new = turn.withColumnRenamed("node", "at").join(lists, "at").select("q", "node").distinct().join(state, ["q", "node"], "left_anti")
-        state, before = materialize(_top(marked.unionByName(scored(new)), "q", [F.desc("near"), F.col("node")], beam), "beam"), state
-        discard(before)
-        if state.where("not done").isEmpty():
-            return state.select("q", "node", "near")
-    raise RuntimeError(f"beams have not settled in {MOST_ROUNDS} rounds")
+class Walker:
+    """Greedy beam search along the graph of cells."""
+
+    def __init__(self, centres: np.ndarray, at: np.ndarray, cell: np.ndarray, entries: int = ENTRIES):
+        order = np.argsort(at, kind="stable")
+        self.centres, self.listed = centres, cell[order]
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(centres)))])
+        self.entries = np.argsort(-(centres * centres).sum(axis=1), kind="stable")[:entries]
+
+    def _neighbours(self, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in cells, cell) of all that the cells list."""
+        sizes = self.first[cells + 1] - self.first[cells]
+        place = np.repeat(np.arange(len(cells)), sizes)
+        within = np.arange(len(place)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        return place, self.listed[self.first[cells][place] + within]
+
+    def walk(self, queries: np.ndarray, own: np.ndarray, beam: int) -> list[np.ndarray]:
+        """The cells of each query's beam, best first."""
+        n, count = len(queries), len(self.centres)
+        if beam >= count:
+            return list(np.argsort(-(queries @ self.centres.T), axis=1, kind="stable"))
+        near, fresh = np.full((n, count), -np.inf), np.zeros((n, count), dtype=bool)
+
+        def visit(who: np.ndarray, cells: np.ndarray) -> None:
+            pairs = np.unique(who * count + cells)
+            pairs = pairs[near.ravel()[pairs] == -np.inf]
+            for at in range(0, len(pairs), 1 << 16):
+                who, cells = np.divmod(pairs[at : at + (1 << 16)], count)
+                near[who, cells] = np.einsum("ij,ij->i", queries[who], self.centres[cells])
+                fresh[who, cells] = True
+
+        visit(np.repeat(np.arange(n), 1 + len(self.entries)), np.hstack([own[:, None], np.tile(self.entries, (n, 1))]).ravel())
+        while True:
+            best = np.argpartition(-near, beam - 1, axis=1)[:, :beam]
+            value = np.take_along_axis(near, best, axis=1)
+            order = np.argsort(-value, axis=1, kind="stable")
+            best, value = np.take_along_axis(best, order, axis=1), np.take_along_axis(value, order, axis=1)
+            still = np.take_along_axis(fresh, best, axis=1)
+            if not still.any():
+                return [b[v > -np.inf] for b, v in zip(best, value, strict=True)]
+            who, place = np.nonzero(still & (np.cumsum(still, axis=1) <= max(1, beam // EXPAND)))
+            cells = best[who, place]
+            fresh[who, cells] = False
+            at, cells = self._neighbours(cells)
+            visit(who[at], cells)
+
+
+def _asks(queries: DataFrame, walker: Walker, shards: np.ndarray, beam: int, kind: str, first: bool) -> DataFrame:
+    """shard, q, base, cells, low: each query (q, base, cell, low) once for each shard that has cells of its beam; the first
+    shard, that of the best cell, or all others."""
+    sent = queries.sparkSession.sparkContext.broadcast((walker, shards))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        walker, shards = sent.value
+        for batch in batches:
+            for at in range(0, len(batch), WALKED):
+                some = batch[at : at + WALKED]
+                out = []
+                for i, cells in enumerate(walker.walk(_matrix(some["base"].tolist(), kind), some["cell"].to_numpy(), beam)):
+                    dealt = shards[cells]
+                    for shard in [dealt[0]] if first else np.setdiff1d(dealt, dealt[:1]):
+                        out.append((int(shard), i, cells[dealt == shard].astype("<i4").tobytes()))
+                shard, place, wanted = map(list, zip(*out, strict=True)) if out else ([], [], [])
+                yield pd.DataFrame({"shard": shard, "q": some["q"].to_numpy()[place], "base": some["base"].to_numpy()[place], "cells": wanted, "low": some["low"].to_numpy()[place]})
+
+    return queries.select("q", "base", "cell", "low").mapInPandas(run, "shard int, q bigint, base binary, cells binary, low double")
+
+
+def _best_of(who: np.ndarray, place: np.ndarray, near: np.ndarray, names: np.ndarray, low: np.ndarray, k: int, kept: int, slack: float):
+    """The k best of each query and what rounding may have put behind them, `kept` at most; low rises to the least that still counts."""
+    order = np.lexsort((names[place], -near, who))
+    who, place, near = who[order], place[order], near[order]
+    starts = np.flatnonzero(np.diff(who, prepend=-1))
+    sizes = np.diff([*starts, len(who)])
+    rank = np.arange(len(who)) - np.repeat(starts, sizes)
+    last = np.where(sizes >= k, near[np.minimum(starts + k - 1, len(near) - 1)], -np.inf) - slack
+    low[who[starts]] = np.maximum(low[who[starts]], last)
+    fits = (rank < k) | (near >= low[who]) & (rank < kept)
+    return who[fits], place[fits], near[fits]
+
+
+class Shard:
+    """Nodes of a shard by cell."""
+
+    def __init__(self, names: list[np.ndarray], cells: list[np.ndarray], vectors: list[np.ndarray]):
+        cell = np.concatenate(cells)
+        order = np.argsort(cell, kind="stable")
+        self.names, self.vectors = np.concatenate(names)[order], np.concatenate(vectors)[order]
+        self.cells, starts = np.unique(cell[order], return_index=True)
+        self.starts = np.append(starts, len(cell))
+
+    def search(self, queries: np.ndarray, wanted: list[bytes], low: np.ndarray, k: int, kept: int, slack: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, name, score) of the best nodes in the cells that each query wants, of those that reach low."""
+        cells = [np.frombuffer(x, "<i4") for x in wanted]
+        who, cell = np.repeat(np.arange(len(cells)), list(map(len, cells))), np.concatenate(cells)
+        order = np.argsort(cell, kind="stable")
+        who, cell = who[order], cell[order]
+        found, held, low = [], 0, low.copy()
+
+        def best() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            return _best_of(*map(np.concatenate, zip(*found, strict=True)), self.names, low, k, kept, slack)
+
+        ends = np.append(np.flatnonzero(np.diff(cell)) + 1, len(cell))
+        for s, e in zip([0, *ends], ends, strict=False):
+            at = np.searchsorted(self.cells, cell[s])
+            if at == len(self.cells) or self.cells[at] != cell[s]:
+                continue  # a cell without nodes
+            for b in range(self.starts[at], self.starts[at + 1], 4096):
+                v = self.vectors[b : min(b + 4096, self.starts[at + 1])].astype(np.float64)
+                for a in range(s, e, 512):
+                    asking = who[a : min(a + 512, e)]
+                    near = queries[asking] @ v.T
+                    i, j = np.nonzero(near >= low[asking][:, None])
+                    found.append((asking[i], j + b, near[i, j]))
+                    held += len(i)
+                    if held > HELD:
+                        found = [best()]
+                        held = len(found[0][0])
+                        held = held if held <= HELD // 2 else 0  # then again when as many more have come
+        if not found:
+            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+        who, place, _ = best()
+        score = np.empty(len(who))
+        for at in range(0, len(who), 1 << 14):
+            # one component after another, so that equal products have equal sums
+            part = slice(at, at + (1 << 14))
+            score[part] = np.add.accumulate(queries[who[part]] * self.vectors[place[part]].astype(np.float64), axis=1)[:, -1]
+        return who, self.names[place], score
+
+
+def _scan(members: DataFrame, asks: DataFrame, k: int, kept: int, slack: float, kind: str) -> DataFrame:
+    """q, node, score: the best nodes that asks (of _asks) find in each shard."""
+    nothing = F.lit(None)
+    rows = members.select("shard", F.lit(0).alias("kind"), F.col("node").alias("name"), "base", "cell", nothing.cast("binary").alias("cells"), nothing.cast("double").alias("low"))
+    rows = rows.unionByName(asks.select("shard", F.lit(1).alias("kind"), F.col("q").alias("name"), "base", F.lit(0).alias("cell"), "cells", "low"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, nodes, shard = None, ([], [], []), None
+        for batch in batches:
+            keys = batch["shard"].to_numpy() * 2 + batch["kind"].to_numpy()
+            ends = np.append(np.flatnonzero(np.diff(keys)) + 1, len(keys))
+            for s, e in zip([0, *ends], ends, strict=False):
+                if s == e:
+                    continue
+                some, key = batch[s:e], int(keys[s])
+                if key // 2 != at:
+                    at, nodes, shard = key // 2, ([], [], []), None
+                if key % 2 == 0:
+                    v = np.frombuffer(b"".join(some["base"]), dtype=kind).reshape(len(some), -1)
+                    for to, x in zip(nodes, (some["name"].to_numpy(), some["cell"].to_numpy(), v), strict=True):
+                        to.append(x)
+                    continue
+                if not nodes[0] and shard is None:
+                    continue  # a shard without nodes
+                if shard is None:
+                    shard, nodes = Shard(*nodes), ([], [], [])
+                for b in range(0, len(some), ASKED):
+                    part = some[b : b + ASKED]
+                    who, name, score = shard.search(_matrix(part["base"].tolist(), kind), part["cells"].tolist(), part["low"].to_numpy(), k, kept, slack)
+                    yield pd.DataFrame({"q": part["name"].to_numpy()[who], "node": name, "score": score})
+
+    rows = rows.repartition("shard").sortWithinPartitions("shard", "kind")
+    return rows.mapInPandas(run, "q bigint, node bigint, score double")
 
 
 def exact_search(nodes: DataFrame, queries: list[tuple[int, bytes]], k: int, kind: str) -> DataFrame:
-    """q, node, near: the k nearest nodes of a few queries, by comparing each with all nodes."""
+    """q, node, cell, near: the k nearest nodes of a few queries, by comparing each with all nodes."""
     names, v = np.array([q for q, _ in queries], dtype=np.int64), [base for _, base in queries]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -319,63 +550,69 @@ def exact_search(nodes: DataFrame, queries: list[tuple[int, bytes]], k: int, kin
         for batch in batches:
             for at in range(0, len(batch), 4096):
                 some = batch[at : at + 4096]
-                near, node = asked @ _matrix(some["base"].tolist(), kind).T, np.broadcast_to(some["node"].to_numpy(), (len(names), len(some)))
-                if best is not None:
-                    near, node = np.hstack([best[0], near]), np.hstack([best[1], node])
+                new = [asked @ _matrix(some["base"].tolist(), kind).T, *(np.broadcast_to(some[c].to_numpy(), (len(names), len(some))) for c in ("node", "cell"))]
+                near, node, cell = new if best is None else map(np.hstack, zip(best, new, strict=True))
                 top = np.lexsort((node, -near), axis=1)[:, :k]
-                best = np.take_along_axis(near, top, axis=1), np.take_along_axis(node, top, axis=1)
+                best = [np.take_along_axis(x, top, axis=1) for x in (near, node, cell)]
         if best is not None:
-            yield pd.DataFrame({"q": np.repeat(names, best[0].shape[1]), "node": best[1].ravel(), "near": best[0].ravel()})
+            near, node, cell = best
+            yield pd.DataFrame({"q": np.repeat(names, near.shape[1]), "node": node.ravel(), "cell": cell.ravel(), "near": near.ravel()})
 
-    found = nodes.select("node", "base").mapInPandas(run, "q bigint, node bigint, near double")
+    found = nodes.select("node", "base", "cell").mapInPandas(run, "q bigint, node bigint, cell int, near double")
     return _top(found, "q", [F.desc("near"), F.col("node")], k)
 
 
-def measured_beam(lists: DataFrame, nodes: DataFrame, queries: DataFrame, entries: list[int], kind: str, k: int, norm2: float) -> tuple[int, float]:
-    """The width of beams, doubled until the searches of a sample of queries find WANTED of their true k nearest, and what they found."""
-    sample = queries.orderBy(F.xxhash64("q"), "q").limit(SAMPLE)
-    sample = materialize(sample.join(nodes, sample["q"] == nodes["node"]).select("q", "base"), "sampled-queries")
-    asked = [(r["q"], bytes(r["base"])) for r in sample.collect()]
+def measured_beam(members: DataFrame, queries: DataFrame, walker: Walker, kind: str, k: int, beam: int = BEAM) -> tuple[int, float]:
+    """The width of beams, widened until the cells of a sample of queries hold WANTED of their true k nearest, and what they hold."""
+    asked = queries.orderBy(F.xxhash64("q"), "q").limit(SAMPLE).select("q", "base", "cell").collect()
     if not asked:
-        return BEAM, 1.0
-    exact = exact_search(nodes, asked, k, kind).groupBy("q").agg(F.min("near").alias("last"), F.count("*").alias("n"))
-    exact = materialize(exact, "exact-neighbours")
-    count, beam = nodes.count(), max(BEAM, 2 * k)
+        return beam, 1.0
+    cells: dict[int, list[int]] = {}
+    for r in exact_search(members, [(r["q"], bytes(r["base"])) for r in asked], k, kind).select("q", "cell").collect():
+        cells.setdefault(r["q"], []).append(r["cell"])
+    v, own = _matrix([bytes(r["base"]) for r in asked], kind), np.array([r["cell"] for r in asked], dtype=np.int64)
     while True:
-        beams = search_graph(lists, nodes, sample.select("q"), entries, kind, beam)
-        hits = beams.join(exact, "q").where(F.col("near") >= F.col("last") - ROUNDING * norm2).groupBy("q").agg(F.count("*").alias("hits"))
-        found = exact.join(hits, "q", "left").agg(F.avg(F.least(F.coalesce("hits", F.lit(0)), "n") / F.col("n"))).first()[0]
-        if found >= WANTED or beam >= count:
+        beams = walker.walk(v, own, beam)
+        found = float(np.mean([np.isin(cells[r["q"]], b).mean() for r, b in zip(asked, beams, strict=True)]))
+        if found >= WANTED or beam >= len(walker.centres):
             return beam, found
-        beam *= 4 if found < 0.8 else 2
+        beam += max(1, beam // 4)
 
 
 def nearest(
     vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding", degree: int = DEGREE,
-    cell: int = CELL, rescored: int = RESCORED,
+    cell: int = CELL, rescored: int = RESCORED, beam: int = BEAM,
 ) -> DataFrame:
     """query_id, rank, vec_id and score: the k nearest found of each row for which is_query (a condition on `id`) holds."""
+    spark, kind = vectors.sparkSession, _kind(vectors, vector_col)
     rows = materialize(_valid(vectors, id_col, vector_col), "vectors")
     classes = materialize(_classes(rows, k + 1), "vector-classes")
-    kind = "<f4" if isinstance(getattr(vectors.schema[vector_col].dataType, "elementType", None), FloatType) else "<f8"
-    nodes = materialize(_packed(classes, kind), "packed-vectors")
-    norm2 = float(classes.agg(F.max(_norm2(F.col("v")))).first()[0] or 1.0)
-    edges = build_graph(nodes, kind, norm2, degree, cell)
     asking = rows.where(is_query).distinct().join(classes.select("v", F.col("node").alias("q")), "v").select("id", "q")
     asking = materialize(asking, "asking")
-    entries = [r["node"] for r in classes.orderBy(F.desc(_norm2(F.col("v"))), "node").limit(ENTRIES).select("node").collect()]
-    queries = materialize(asking.select("q").distinct(), "queries")
-    lists = materialize(both_ways(edges), "graph-both-ways")
-    beam, _ = measured_beam(lists, nodes, queries, entries, kind, k + 1, norm2)
-    beams = search_graph(lists, nodes, queries, entries, kind, beam)
-    # besides the best, all that rounding may have put behind the last of those that count
-    place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("near"), "node"))
-    last = F.min(F.when(F.col("place") <= k + 1, F.col("near"))).over(Window.partitionBy("q"))
-    placed = beams.withColumn("place", place).withColumn("last", last)
-    pairs = placed.where((F.col("place") <= max(rescored, k + 1)) | (F.col("near") >= F.col("last") - ROUNDING * norm2)).select("q", "node")
-    dot = F.aggregate(F.zip_with("v", "w", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
-    scored = pairs.join(classes, "node").join(classes.select(F.col("node").alias("q"), F.col("v").alias("w")), "q")
-    scored = scored.select("q", dot.alias("score"), F.explode("ids").alias("vec_id"))
+    discard(rows)
+    norm2, count = classes.agg(F.max(_norm2(F.col("v"))), F.count("*")).first()
+    if not count:
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    cells = fit_cells(classes, count, norm2, cell, kind)
+    members = materialize(_members(classes, cells, kind), "members")
+    ids = materialize(classes.select("node", "ids"), "class-ids")
+    discard(classes)
+    centres = materialize(spark.createDataFrame([(i, x.tobytes()) for i, x in enumerate(cells.centres)], "node long, base binary"), "centres")
+    edges = build_graph(centres, "<f8", float((cells.centres**2).sum(axis=1).max()) or 1.0, degree)
+    lists = both_ways(edges).toArrow()
+    walker = Walker(cells.given(), lists["at"].to_numpy(), lists["node"].to_numpy())
+    queries = asking.select("q").distinct().join(members.select(F.col("node").alias("q"), "base", "cell"), "q")
+    queries = materialize(queries.withColumn("low", F.lit(float("-inf"))), "queries")
+    beam, _ = measured_beam(members, queries, walker, kind, k + 1, beam)
+    slack = ROUNDING * norm2
+    search = lambda asked, first: _scan(members, _asks(asked, walker, cells.shard, beam, kind, first), k + 1, rescored, slack, kind)
+    found = materialize(search(queries, True), "found-first")
+    low = _top(found, "q", [F.desc("score"), F.col("node")], k + 1).groupBy("q").agg(F.min("score").alias("least"), F.count("*").alias("n"))
+    low = low.select("q", F.when(F.col("n") > k, F.col("least") - slack).alias("reached"))
+    queries = queries.join(low, "q", "left").select("q", "base", "cell", F.coalesce("reached", "low").alias("low"))
+    found = found.unionByName(materialize(search(queries, False), "found"))
+    best = _top(found, "q", [F.desc("score"), F.col("node")], k + 1)
+    scored = best.join(ids, "node").select("q", "score", F.explode("ids").alias("vec_id"))
     best = _top(scored, "q", [F.desc("score"), F.col("vec_id")], k + 1)
     best = best.groupBy("q").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col("vec_id").alias("i")))).alias("best"))
     found = asking.join(best, "q").select(

@@ -136,3 +136,33 @@ def test_every_node_is_reached_and_descent_runs_on_small_tables(spark, monkeypat
     edges = spark.createDataFrame([(a, b, -float(abs(a - b))) for a in range(50) for b in range(3) if a != b], "a long, b long, near double")
     lists = {(r.at, r.node) for r in N.both_ways(edges, 2).collect()}
     assert {node for _, node in lists} == set(range(50)) and max(sum(at == x for at, _ in lists) for x in range(3, 50)) <= 4
+
+
+@pytest.mark.parametrize("held", [1 << 20, 8])
+def test_a_shard_is_searched_as_by_brute_force(monkeypatch, held):
+    monkeypatch.setattr(N, "HELD", held)
+    rng = np.random.default_rng(8)
+    v, q = rng.integers(-3, 4, size=(300, 4)).astype("<f4"), rng.integers(-3, 4, size=(40, 4)).astype(float)
+    names, cells = rng.permutation(300) + 1000, rng.integers(12, size=300)
+    shard = N.Shard([names[:100], names[100:]], [cells[:100], cells[100:]], [v[:100], v[100:]])
+    wanted = [rng.permutation(15)[: rng.integers(1, 15)].astype("<i4") for _ in q]
+    low = np.where(np.arange(40) % 3 == 0, 5.0, -np.inf)
+    who, name, score = shard.search(q, [w.tobytes() for w in wanted], low, 5, 64, 1e-9)
+    for i in range(40):
+        near = sorted((-float(v[n] @ q[i]), int(names[n])) for n in range(300) if cells[n] in wanted[i] and v[n] @ q[i] >= low[i])
+        got = sorted((-float(s), int(n)) for s, n in zip(score[who == i], name[who == i], strict=True))
+        assert got[:5] == near[:5] and set(got) <= set(near)
+
+
+def test_beams_are_widened_and_queries_go_once_to_a_shard(spark, monkeypatch):
+    v = np.random.default_rng(10).normal(size=(4000, 12))
+    widths, asked = [], []
+    measured, asks = N.measured_beam, N._asks
+    monkeypatch.setattr(N, "measured_beam", lambda *a: widths.append((len(a[2].centres), *measured(*a))) or widths[-1][1:])
+    monkeypatch.setattr(N, "_asks", lambda *a: asked.append(asks(*a)) or asked[-1])
+    frame, rows = vectors_of(spark, v)
+    share = recall(frame, rows, cell=16, beam=4)
+    (count, beam, found), = widths
+    assert 4 < beam < count and found >= N.WANTED and share.mean() >= 0.9
+    pairs = [(r.q, r.shard, len(r.cells) // 4) for a in asked for r in a.select("q", "shard", "cells").collect()]
+    assert len({(q, s) for q, s, _ in pairs}) == len(pairs) and sum(n for _, _, n in pairs) == 200 * beam
