@@ -6,12 +6,19 @@ benchmark items, secrets masks what the secret scan reports, and byte_bpe encode
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import byte_bpe, decontaminate, secrets, simhash, toxicity
-from corpusloom.llm.common import materialize, table
+from corpusloom.llm.common import materialize, spare, table
+
+
+#: Rows of whole texts that go to a Python worker at once. Spark's 10,000 are some ten MB of texts on either side of each worker,
+#: in buffers that neither side gives back; the heap of an executor that has grown in earlier stages leaves no room for them.
+ARROW_ROWS = 1000
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,16 +50,28 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def byte_bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens of every document, and digests of its ids and of what they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    # workers of the stages before still hold their tables: smaller blocks, which fold more words, for the memory
-    return byte_bpe.round_trip(docs, path, public_tokenizers.PATTERN, block_words=1 << 18)
+    # executors' heaps have grown in the stages before: smaller blocks, which fold more words, for the memory
+    return byte_bpe.round_trip(docs, path, public_tokenizers.PATTERN, block_words=1 << 16, block_codes=1 << 22)
+
+
+def _in_small_batches(stage):
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        # of the session, since a stage's plan runs when its result is written
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+        out = stage(spark, docs, sf_dir)
+        spare()  # what fitting and building tables took of the driver's memory
+        return out
+
+    return run_stage
 
 
 STAGES = [
-    ("toxicity", toxicity_stage),
-    ("near_duplicates", near_duplicate_stage),
-    ("decontamination", decontamination_stage),
-    ("secrets", secret_stage),
-    ("byte_bpe", byte_bpe_stage),
+    ("toxicity", _in_small_batches(toxicity_stage)),
+    ("near_duplicates", _in_small_batches(near_duplicate_stage)),
+    ("decontamination", _in_small_batches(decontamination_stage)),
+    ("secrets", _in_small_batches(secret_stage)),
+    ("byte_bpe", _in_small_batches(byte_bpe_stage)),
 ]
 #: SQL expresses neither the trained field nor components or merges; tests compare with a brute-force version.
 ORACLE_SQL = None

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept
+from .common import kept, spare
 
 BLOCK_WORDS = 1 << 20
 BLOCK_CODES = 1 << 24
@@ -276,6 +276,7 @@ def _blocks(batches: Iterator[pd.DataFrame], cut, ranks: dict[bytes, int], block
             if len(numbers) >= block_words or total >= block_codes:
                 yield from flush()
                 numbers, ids, documents, total = Numbers(ranks), [], [], 0
+                spare()
     yield from flush()
 
 
@@ -373,7 +374,7 @@ def round_trip(
     sent = docs.sparkSession.sparkContext.broadcast(_pieces(read_ranks(vocabulary)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        get = sent.value.__getitem__
+        get = kept("pieces", vocabulary, lambda: sent.value).__getitem__
         for names, data in _encoded(batches):
             decoded = [b"".join(map(get, np.frombuffer(d, "<u4").tolist())) for d in data]
             digest = lambda rows: [hashlib.sha256(x).hexdigest() for x in rows]

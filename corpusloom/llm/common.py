@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.sources.tables import discard, shared_folder, table
 
-__all__ = ["discard", "fresh_path", "kept", "materialize", "shared_folder", "table"]
+__all__ = ["discard", "fresh_path", "kept", "materialize", "shared_folder", "spare", "table"]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -25,12 +28,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return found
 
 
-#: What a worker process keeps between tasks, by kind; one value each.
+#: What a worker process keeps between tasks: one value at most, by its kind and key. Workers serve one stage after another, and
+#: what earlier ones left would count against the memory of later ones.
 _kept: dict = {}
 
 
 def kept(kind: str, key: object, make):
-    """make()'s value for key, made once in a worker process; another key of the same kind replaces it."""
-    if _kept.get(kind, (None,))[0] != key:
-        _kept[kind] = (key, make())
-    return _kept[kind][1]
+    """make()'s value for key, made once in a worker process; another kind or key replaces it."""
+    if (kind, key) not in _kept:
+        _kept.clear()
+        spare()
+        _kept[kind, key] = make()
+    return _kept[kind, key]
+
+
+def spare() -> None:
+    """Give freed memory back to the system, as far as the allocators of this process can."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)

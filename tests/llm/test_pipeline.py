@@ -5,7 +5,7 @@ import public_tokenizers
 import tiktoken
 
 import corpus_pipeline as P
-from corpusloom.llm import byte_bpe, decontaminate, simhash, toxicity
+from corpusloom.llm import byte_bpe, common, decontaminate, simhash, toxicity
 from tests.llm.test_secrets import brute as base_spans
 from tests.llm.test_simhash import brute_components
 
@@ -78,3 +78,18 @@ def test_stages_take_nulls_repeats_clashing_columns_and_empty_tables(spark, tmp_
     got = P.STAGES[4][1](spark, docs, str(tmp_path)).collect()
     assert len(got) == len(rows) and {r.n_tokens for r in got if r.doc_id in (None, 2, 4)} == {0}
     assert P.STAGES[4][1](spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_byte_bpe_takes_small_blocks_and_workers_keep_one_table(spark, monkeypatch):
+    made = []
+    kept = lambda kind, key: common.kept(kind, key, lambda: made.append((kind, key)) or (kind, key))
+    monkeypatch.setattr(common, "_kept", {})
+    assert [kept("matcher", 1), kept("matcher", 1), kept("word cutter", 1)] == [("matcher", 1), ("matcher", 1), ("word cutter", 1)]
+    assert len(made) == 2 and len(common._kept) == 1
+    taken = {}
+    monkeypatch.setattr(byte_bpe, "round_trip", lambda *a, **k: taken.update(k))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    dict(P.STAGES)["byte_bpe"](spark, None, "")
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert taken["block_words"] <= 1 << 16 and taken["block_codes"] <= 1 << 22
