@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import byte_bpe, decontaminate, secrets, simhash, toxicity
-from corpusloom.llm.common import materialize, spare, table
+from corpusloom.llm.common import materialize, spare, spare_heaps, table
 
 
 #: Rows of whole texts that go to a Python worker at once. Spark's 10,000 are some ten MB of texts on either side of each worker,
@@ -59,8 +59,10 @@ def _in_small_batches(stage):
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         # of the session, since a stage's plan runs when its result is written
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+        spare_heaps(spark)  # of what the stage before left
         out = stage(spark, docs, sf_dir)
         spare()  # what fitting and building tables took of the driver's memory
+        spare_heaps(spark)  # of what it took of the executors', before the result is written
         return out
 
     return run_stage

@@ -8,10 +8,11 @@ import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpusloom.sources.tables import discard, shared_folder, table
 
-__all__ = ["discard", "fresh_path", "kept", "materialize", "shared_folder", "spare", "table"]
+__all__ = ["discard", "fresh_path", "kept", "materialize", "shared_folder", "spare", "spare_heaps", "table"]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -47,3 +48,11 @@ def spare() -> None:
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)
+
+
+def spare_heaps(spark: SparkSession) -> None:
+    """Have the driver's heap and those of the executors collected, by one short task a core. A heap that has grown in one stage
+    stays as large while the Python workers of the next ones grow beside it; only a full collection lets it shrink."""
+    spark.sparkContext._jvm.System.gc()
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(0, cores, 1, cores).select(F.reflect(F.lit("java.lang.System"), F.lit("gc")).alias("done")).write.format("noop").mode("overwrite").save()

@@ -27,8 +27,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import kept
 from .language_id import held_out
@@ -343,8 +346,9 @@ def fit(
             kept_.append((r["id"], r["h"]))
     if not kept_:
         return fit_field([])
-    kind = rows.schema["id"].dataType.simpleString()
-    some = docs.sparkSession.createDataFrame(kept_, f"id {kind}, h bigint")
+    # as an Arrow table, which goes to the JVM as it is: rows would start Python workers of another kind on every executor
+    kind = StructType([rows.schema["id"], StructField("h", LongType())])
+    some = docs.sparkSession.createDataFrame(pa.Table.from_pylist([{"id": i, "h": h} for i, h in kept_], to_arrow_schema(kind)), kind)
     rows = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(some), ["id", "h"], "left_semi")
     rows = rows.select("id", "h", "text", "label").dropDuplicates(["id", "h"]).orderBy("id", "h")
     return fit_field([(r["text"], r["label"]) for r in rows.toLocalIterator()])

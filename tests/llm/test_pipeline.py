@@ -93,3 +93,26 @@ def test_byte_bpe_takes_small_blocks_and_workers_keep_one_table(spark, monkeypat
     assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     assert taken["block_words"] <= 1 << 16 and taken["block_codes"] <= 1 << 22
+
+
+def test_stages_have_heaps_collected_and_the_fit_starts_no_python_workers(spark, monkeypatch):
+    # one process has both heaps here: the driver's share is taken out, so what is counted is what tasks have collected
+    beans = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    full = lambda: sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+    docs = spark.createDataFrame([(i, f"{'grobble' if i % 3 == 0 else 'clean'} text w{i}x w{i}y") for i in range(60)], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int").repartition(3)
+    docs.count(), labels.count()
+    before = full()
+    spark.sparkContext._jvm.System.gc()
+    alone = full() - before
+    before = full()
+    common.spare_heaps(spark)
+    assert full() - before > alone >= 1
+    seen = []
+    monkeypatch.setattr(P, "spare_heaps", lambda s: seen.append("heaps"))
+    P._in_small_batches(lambda *a: seen.append("stage"))(spark, None, "")
+    assert seen == ["heaps", "stage", "heaps"]
+    # rows handed to createDataFrame one by one become an RDD of Python workers on every executor
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", lambda *a, **k: 1 / 0)
+    field = toxicity.fit(docs, labels)
+    assert field.trained and field.score(["grobble", "clean"])[0].tolist()[0] > 0.5
