@@ -14,7 +14,7 @@ from corpusloom.functions import scores as S
 from corpusloom.functions import text as T
 from corpusloom.operators import audit, consensus, dedup, gates, generation, provenance, selection
 from corpusloom.sources import files, sinks
-from corpusloom.sources.tables import shared_folder
+from corpusloom.sources.tables import checkpointed, shared_folder
 
 # --- scans and sinks ---------------------------------------------------------------------------------------------------
 
@@ -269,6 +269,7 @@ def near_duplicate_documents(spark, sf_dir):
 
 
 def _near(rows: DataFrame, distance: int, equal: bool = True) -> DataFrame:
+    rows = checkpointed(rows)  # hashes of whole texts, which are read four times
     links = dedup.near_pairs(rows.select("h"), distance)
     links = links.union(links.select("b", "a", "distance"))
     links = links.union(rows.select("h", "h", F.lit(0)).distinct()) if equal else links

@@ -47,6 +47,31 @@ def test_greedy_deduplication_is_the_sequential_loop(spark, seed):
     assert {r.id: r.duplicate_reason and (r.duplicate_reason, r.duplicate_of, r.duplicate_distance) for r in got} == want
 
 
+@pytest.mark.parametrize(("bits", "block"), [(3, 16), (8, 16), (8, 1000), (14, 64)])
+def test_near_pairs_are_those_of_brute_force(spark, bits, block):
+    r = random.Random(bits)
+    values = {r.getrandbits(64) - 2**63 for _ in range(150)} | {0, -1}
+    for v in sorted(values)[:60]:
+        for _ in range(r.randint(1, 4)):
+            for _ in range(r.randint(1, bits // 2 + 1)):
+                v ^= 1 << r.randrange(63)
+            values.add(v)
+    frame = spark.createDataFrame([(v,) for v in [*values, *values, None]], "h bigint")
+    got = [tuple(x) for x in dedup.near_pairs(frame, bits, block).collect()]
+    want = {(a, b, distance(a, b)) for a in values for b in values if a < b and distance(a, b) <= bits}
+    assert len(got) == len(want) > 50 and set(got) == want
+
+
+def test_near_pairs_of_many_hashes_make_few_rows(spark):
+    # keys of three bands made 165 rows a hash, and candidates were rows of a join
+    r = random.Random(5)
+    values = [r.getrandbits(64) - 2**63 for _ in range(3000)]
+    frame = dedup.near_pairs(spark.createDataFrame([(v,) for v in values], "h bigint"), 8)
+    assert frame.count() == sum(distance(a, b) <= 8 for i, a in enumerate(values) for b in values[:i])
+    written = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in written and "bit_count" not in written
+
+
 def test_chain_keeps_both_ends(spark):
     frame = spark.createDataFrame([(1, 0b0), (2, 0b11), (3, 0b1111)], "id int, h bigint")
     got = dedup.greedy_deduplicate(frame, "id", [F.col("id")], [dedup.Rule("near", "h", 2)]).collect()
