@@ -366,8 +366,10 @@ def loss_curves(spark, sf_dir):
 
 @query("SELECT event_type AS experiment, min(value) AS eval_loss FROM events GROUP BY 1 ORDER BY 2 LIMIT 1")
 def best_experiment(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("experiment")).agg(F.min("value").alias("eval_loss"))
-    return audit.best_experiment(rows)
+    """Of equal losses, that of the experiment that the table has first."""
+    rows = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("experiment"))
+    rows = rows.agg(F.min("value").alias("eval_loss"), F.min("event_id").alias("first"))
+    return audit.best_experiment(rows, order="first").drop("first")
 
 
 @query("""WITH s AS (SELECT 'all' AS stage, lang, count(*) AS n FROM documents WHERE lang IS NOT NULL GROUP BY lang UNION ALL

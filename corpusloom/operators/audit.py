@@ -62,9 +62,10 @@ def canonical_sha256(value: object) -> str:
     return hashlib.sha256(json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode()).hexdigest()
 
 
-def best_experiment(metrics: DataFrame, loss: str = "eval_loss") -> DataFrame:
-    """The row of the least loss; a missing loss is the worst."""
-    return metrics.agg(F.min_by(F.struct("*"), F.coalesce(loss, F.lit(float("inf")))).alias("r")).select("r.*")
+def best_experiment(metrics: DataFrame, loss: str = "eval_loss", order: str | None = None) -> DataFrame:
+    """The row of the least loss; a missing loss is the worst. Of equal losses the least of the column `order` counts, if given."""
+    least = F.struct(F.coalesce(loss, F.lit(float("inf"))).alias("loss"), *([F.col(order).alias("order")] if order else []))
+    return metrics.agg(F.min_by(F.struct("*"), least).alias("r")).select("r.*")
 
 
 def loss_curves(metrics: DataFrame, key: str = "experiment", epoch: str = "epoch", loss: str = "eval_loss") -> DataFrame:

@@ -289,3 +289,39 @@ def test_stream_answers_each_row_once(spark, tmp_path):
     go()
     got = spark.read.parquet(records).collect()
     assert sorted((r.candidate_id, r.raw_generation) for r in got) == [("1", "A"), ("2", "B"), ("3", "C")]
+
+
+def test_lines_of_a_folder_are_numbered_file_after_file(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"part-{i}.txt").write_text("".join(f"{i}-{j}\n" for j in range(5 + i)))
+    lines = files.numbered_lines(spark, str(tmp_path))
+    assert [(r.line_no, r.value) for r in lines.orderBy("line_no").collect()] == [(n, v) for n, v in enumerate((f"{i}-{j}" for i in range(3) for j in range(5 + i)), 1)]
+    assert "ResolvedHint (strategy=broadcast)" in lines._jdf.queryExecution().analyzed().toString() or "strategy=broadcast" in lines._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_matching_writes_keys_and_compares_equal_paragraphs_once(spark):
+    start = " ".join(f"w{i}" for i in range(12))
+    paragraphs = [(f"{start} x{i % 3}", f"s{i}", 0, i) for i in range(300)] + [("next one", "s0", 1, 300), ("and one more", "s0", 2, 301)]
+    index = provenance.paragraph_index(spark.createDataFrame(paragraphs, "text string, source string, paragraph_index int, line_no int"))
+    assert "tokens" not in index.columns
+    answers = [("a", f"{start} x0 next one and"), ("b", f"{start} x2"), ("c", f"{start} x1 y"), ("d", "next one")]
+    got = {r.id: (r.source, r.paragraph_index, r.evidence, r.score, r.method) for r in provenance.match(spark.createDataFrame(answers, "id string, answer string"), index).collect()}
+    near = "consecutive_prefix"
+    assert got == {
+        "a": ("s0", 0, f"{start} x0 next one and one more", 1.0, near), "b": ("s2", 0, f"{start} x2", 1.0, "normalized_prefix"),
+        "c": ("s1", 0, f"{start} x1", round(13 / 14, 4), "normalized_prefix"), "d": ("s0", 1, "next one", 1.0, "exact"),
+    }
+
+
+def test_clean_corpus_writes_the_wanted_columns_only(spark):
+    raw = spark.createDataFrame([(1, "some text", "s"), (2, "some text", None)], "line_no int, text string, source string")
+    found = gates.clean_corpus(raw, keep=["fingerprint"])
+    assert set(found.columns) == {"line_no", "source", "fingerprint", "reasons"}
+    assert {r.line_no: r.reasons for r in found.collect()} == {r.line_no: r.reasons for r in gates.clean_corpus(raw).collect()}
+
+
+@pytest.mark.parametrize("names", ["ab", "ba"])
+def test_best_experiment_of_equal_losses_is_the_first(spark, names):
+    metrics = spark.createDataFrame([("z", 0.5, 0), *((n, 0.0, i) for i, n in enumerate(names, 1)), ("y", None, 3)], "experiment string, eval_loss double, first int")
+    for rows in (metrics, metrics.orderBy("experiment"), metrics.orderBy(F.desc("experiment"))):
+        assert audit.best_experiment(rows.coalesce(1), order="first").first().experiment == names[0]
