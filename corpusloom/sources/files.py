@@ -1,7 +1,7 @@
 """Scans of JSON lines, whole texts and JSON documents, with line numbers where these are data.
 
 Line numbers are file order. Spark has none, so they are made from a file's byte order: increasing row numbers within a read
-split, shifted by the running counts of the splits before it (one small row a split).
+split, shifted by the running counts of the splits before it (one small row a split). Files of a folder follow one another by name.
 """
 
 from __future__ import annotations
@@ -19,12 +19,14 @@ CORRUPT = "_corrupt"
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """line_no (from 1, blank lines count) and value of every line of one file."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"))
-    blocks = lines.groupBy("block").agg(F.min("n").alias("first"), F.count("*").alias("count"))
-    before = F.sum("count").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
-    blocks = blocks.select("block", (F.coalesce(before, F.lit(0)) - F.col("first") + 1).alias("shift"))
-    return lines.join(blocks, "block").select((F.col("n") + F.col("shift")).alias("line_no"), "value")
+    """line_no (from 1, blank lines count) and value of every line of a file, or of a folder's files one after another."""
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    lines = spark.read.text(path).select("value", *place, F.monotonically_increasing_id().alias("n"))
+    blocks = lines.groupBy("file", "block").agg(F.min("n").alias("first"), F.count("*").alias("count"))
+    before = F.sum("count").over(Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1))
+    blocks = blocks.select("file", "block", (F.coalesce(before, F.lit(0)) - F.col("first") + 1).alias("shift"))
+    # one row a split: the lines stay where they are read
+    return lines.join(F.broadcast(blocks), ["file", "block"]).select((F.col("n") + F.col("shift")).alias("line_no"), "value")
 
 
 def parsed_lines(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
