@@ -174,7 +174,8 @@ def repeated_ngram(spark, sf_dir):
 
 @query(f"SELECT doc_id, round({sql_alpha(sql_clean('text'))}, 6) AS ratio FROM documents")
 def alphabetic_ratio(spark, sf_dir):
-    return documents(spark, sf_dir).select("doc_id", F.round(T.alphabetic_ratio(T.clean_text(F.col("text"))), 6).alias("ratio"))
+    rows = documents(spark, sf_dir).select("doc_id", T.clean_text(F.col("text")).alias("t"))
+    return rows.select("doc_id", F.round(T.alphabetic_ratio(F.col("t")), 6).alias("ratio"))
 
 
 def sql_quality(c: str) -> str:

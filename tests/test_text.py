@@ -85,3 +85,21 @@ def test_descending_order(spark):
     names = ["a", "ab", "abc", "b", "", "ß"]
     got = spark.createDataFrame([(n,) for n in names], "n string").orderBy(T.descending(F.col("n"))).collect()
     assert [r.n for r in got] == sorted(names, reverse=True)
+
+
+def test_white_space_of_python_is_cleaned(spark):
+    spaces = [chr(c) for c in range(0x110000) if chr(c).isspace()]
+    texts = [f"a{x}b {x}{y}c  d{y}" for x in spaces for y in (" ", "\t", "\u3000", "\xa0")] + ["\ufeff a\ufeffb ", "é\n é", "plain text", "", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", T.clean_text(F.col("t")).alias("c"))
+    assert [r.c for r in rows.orderBy("i").collect()] == [" ".join((t or "").replace("\ufeff", "").split()) for t in texts]
+
+
+def test_texts_without_unsafe_characters_meet_no_slow_pattern(spark):
+    rows = spark.createDataFrame([("plain",), ("caf\xe9",), ("ﬁ",), ("e\u0301",), (None,)], "t string")
+    assert [r.t for r in rows.select(T.nfkc(F.col("t")).alias("t")).collect()] == ["plain", "caf\xe9", "fi", "\xe9", None]
+    assert "octet_length" in rows.select(T.nfkc(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tokens_of_letters_whose_small_ones_are_ascii(spark):
+    rows = spark.createDataFrame([("\u212aelvin \u0130s DON’T a’’b 1x",), ("?!",)], "t string")
+    assert [r.w for r in rows.select(T.tokens(F.col("t")).alias("w")).collect()] == [["elvin", "s", "don't", "a", "b", "1x"], []]
