@@ -13,7 +13,7 @@ from corpusloom.functions import scores as S
 from corpusloom.functions import text as T
 from corpusloom.operators import audit, consensus, dedup, gates, generation, provenance, selection
 from corpusloom.plans import evaluation, training
-from corpusloom.sources.tables import table
+from corpusloom.sources.tables import checkpointed, table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -103,8 +103,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.with_nfkc(table(spark, sf_dir, "documents"), "text")
 
 
-def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gates.clean_corpus(table(spark, sf_dir, "documents"), order="doc_id")
+def cleaned(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return gates.clean_corpus(table(spark, sf_dir, "documents"), order="doc_id", keep=columns)
 
 
 # --- text --------------------------------------------------------------------------------------------------------------
@@ -153,12 +153,12 @@ def simhash(spark, sf_dir):
 
 @query(_CLEAN + "SELECT doc_id, fp AS fingerprint, array_to_string(why, ',') AS reasons FROM e")
 def clean_reasons(spark, sf_dir):
-    return cleaned(spark, sf_dir).select("doc_id", "fingerprint", joined("reasons").alias("reasons"))
+    return cleaned(spark, sf_dir, "fingerprint").select("doc_id", "fingerprint", joined("reasons").alias("reasons"))
 
 
 @query(_CLEAN + "SELECT doc_id, source, t AS cleaned_text, fp AS fingerprint FROM e WHERE len(why) = 0")
 def clean_accepted(spark, sf_dir):
-    return gates.split_by(cleaned(spark, sf_dir))[0].select("doc_id", "source", "cleaned_text", "fingerprint")
+    return gates.split_by(cleaned(spark, sf_dir, "cleaned_text", "fingerprint"))[0].select("doc_id", "source", "cleaned_text", "fingerprint")
 
 
 @query(_CLEAN + "SELECT reason, count(*)::BIGINT AS n FROM (SELECT unnest(why) AS reason FROM e) GROUP BY reason")
@@ -319,7 +319,7 @@ def verbatim_spans(spark, sf_dir):
 @query(f"""WITH a AS (SELECT doc_id, {sql_fp("text")} AS fp FROM documents)
 SELECT doc_id, min(doc_id) OVER (PARTITION BY fp) AS first_id FROM a""")
 def exact_dedup(spark, sf_dir):
-    rows = documents(spark, sf_dir).select("doc_id", T.fingerprint(F.col("text")).alias("fp"))
+    rows = checkpointed(documents(spark, sf_dir).select("doc_id", T.fingerprint(F.col("text")).alias("fp")))
     return rows.join(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fp").select("doc_id", "first_id")
 
 
@@ -358,7 +358,7 @@ SELECT split, id, (n = 1)::INTEGER AS kept FROM r""")
 def global_dedup_precedence(spark, sf_dir):
     items = T.with_nfkc(table(spark, sf_dir, "benchmark"), "text").select(F.lit("benchmark").alias("split"), F.lit(0).alias("precedence"), F.col("item_id").alias("id"), "text")
     docs = documents(spark, sf_dir).select(F.lit("documents").alias("split"), F.lit(1).alias("precedence"), F.col("doc_id").alias("id"), "text")
-    rows = items.unionByName(docs).select("split", "precedence", "id", T.fingerprint(F.col("text")).alias("fp"))
+    rows = checkpointed(items.unionByName(docs).select("split", "precedence", "id", T.fingerprint(F.col("text")).alias("fp")))
     first = rows.groupBy("fp").agg(F.min(F.struct("precedence", "id")).alias("first"))
     rows = rows.join(first, "fp")
     return rows.select("split", "id", (F.struct("precedence", "id") == F.col("first")).cast("int").alias("kept"))

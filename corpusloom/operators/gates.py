@@ -69,9 +69,11 @@ def with_exact_duplicates(df: DataFrame, key: str, order: str, column: str = "re
 
 
 def clean_corpus(
-    raw: DataFrame, rules: CleaningRules = CleaningRules(), text_col: str = "text", source_col: str = "source", order: str = "line_no"
+    raw: DataFrame, rules: CleaningRules = CleaningRules(), text_col: str = "text", source_col: str = "source", order: str = "line_no",
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """raw with cleaned_text, tokens, fingerprint, operations and reasons (in order, then exact_duplicate, missing_provenance)."""
+    """raw with cleaned_text, tokens, fingerprint, operations and reasons (in order, then exact_duplicate, missing_provenance).
+    keep: the columns to return besides order, source and reasons, where not all are wanted; others are not written."""
     rows = raw.withColumn("_nfkc", T.nfkc(F.col(text_col)))
     rows = rows.withColumn("cleaned_text", T.clean_text(F.col("_nfkc")))
     rows = rows.withColumn("operations", T.cleaning_operations(F.col(text_col), F.col("_nfkc"))).drop("_nfkc")
@@ -82,6 +84,8 @@ def clean_corpus(
     # a row without provenance is never accepted, so it makes no later row a duplicate
     missing = F.array(F.lit("missing_provenance"))
     eligible = rows.withColumn("_why", F.when(source == "", F.concat("reasons", missing)).otherwise(F.col("reasons")))
+    if keep is not None:
+        eligible = eligible.select(*dict.fromkeys([order, source_col, *keep, "fingerprint", "reasons", "_why"]))
     # written once: the two sides of the join read the columns they need, instead of working through all texts twice
     eligible = checkpointed(eligible)
     firsts = eligible.where(F.size("_why") == 0).groupBy("fingerprint").agg(F.min(order).alias("_first"))
