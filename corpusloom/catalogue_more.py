@@ -223,7 +223,7 @@ def _recovered(spark, sf_dir) -> DataFrame:
     lines = documents(spark, sf_dir).where("text is not null").select("doc_id", F.split("text", "\n", -1).alias("ls"))
     more = F.concat_ws(" ", F.get("ls", 0), F.get("ls", 1), F.coalesce(F.get("ls", 2), F.lit("")))
     asked = lines.select((2 * F.col("doc_id")).alias("id"), F.get("ls", 0).alias("x")).union(lines.where(F.size("ls") > 1).select(2 * F.col("doc_id") + 1, more))
-    asked = asked.withColumn("k", T.comparison_key(F.col("x"))).groupBy("k").agg(F.min_by(F.struct("id", "x"), "id").alias("r")).select("r.*")
+    asked = asked.withColumn("k", T.fingerprint(F.col("x"))).groupBy("k").agg(F.min_by(F.struct("id", "x"), "id").alias("r")).select("r.*")
     return provenance.match(asked, paragraph_lines(spark, sf_dir), "id", "x")
 
 
