@@ -75,16 +75,17 @@ def tagged_or_json(raw: Column) -> Column:
 def generation_reasons(question: Column, answer: Column, evidence: Column, quote: Column, rules: TrainingRules = TrainingRules()) -> Column:
     """All failed rules, in order; generic_source_reference stands once for the question and once for the answer."""
     low_question, low_answer = F.lower(question), F.lower(answer)
-    copied = (F.size(T.tokens(answer)) >= rules.copy_tokens) & F.contains(T.comparison_key(evidence), T.comparison_key(answer))
-    return gates.reasons(
+    copied = lambda key: (F.size(T.tokens(answer)) >= rules.copy_tokens) & F.contains(key, T.comparison_key(answer))
+    # the evidence's words are found once
+    return T.let(T.comparison_key(evidence), lambda key: gates.reasons(
         (gates.outside(F.length(question), *rules.question), "question_length"), (~F.endswith(question, F.lit("?")), "question_not_interrogative"),
         (T.contains_any(low_question, gates.META_QUESTIONS), "meta_question"), (T.contains_any(low_question, generation.GENERIC), "generic_source_reference"),
         (T.contains_any(low_question, generation.AMBIGUOUS), "ambiguous_question_reference"), (gates.outside(F.length(answer), *rules.answer), "answer_length"),
         (T.repeated_ngram(T.tokens(answer)), "repetitive_answer"), (T.contains_any(low_answer, generation.GENERIC), "generic_source_reference"),
         (gates.outside(F.length(quote), *rules.quote), "evidence_quote_length"),
-        (~F.contains(T.comparison_key(evidence), T.comparison_key(quote)), "evidence_quote_not_exact"),
-        (T.overlap(T.content_tokens(answer), T.content_tokens(evidence)) < rules.min_overlap, "low_answer_evidence_overlap"), (copied, "long_direct_copy"),
-    )
+        (~F.contains(key, T.comparison_key(quote)), "evidence_quote_not_exact"),
+        (T.overlap(T.content_tokens(answer), T.content_words(T.split_key(key))) < rules.min_overlap, "low_answer_evidence_overlap"), (copied(key), "long_direct_copy"),
+    ))
 
 
 def filter_generations(records: DataFrame, queue: DataFrame, sources: Sequence[str], rules: TrainingRules = TrainingRules()) -> tuple[DataFrame, DataFrame]:

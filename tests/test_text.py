@@ -103,3 +103,28 @@ def test_texts_without_unsafe_characters_meet_no_slow_pattern(spark):
 def test_tokens_of_letters_whose_small_ones_are_ascii(spark):
     rows = spark.createDataFrame([("\u212aelvin \u0130s DON’T a’’b 1x",), ("?!",)], "t string")
     assert [r.w for r in rows.select(T.tokens(F.col("t")).alias("w")).collect()] == [["elvin", "s", "don't", "a", "b", "1x"], []]
+
+
+@pytest.mark.parametrize(("n", "times"), [(8, 3), (5, 2), (1, 4), (3, 3)])
+def test_repeated_ngrams_by_counting(spark, n, times):
+    from collections import Counter
+    from random import Random
+
+    r = Random(n)
+    texts = [[r.choice("abc" if i % 2 else "abcdefghij") for _ in range(r.randint(0, 60))] for i in range(120)]
+    texts += [[f"w{i % 9}" for i in range(k)] for k in range(15, 40)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, w array<string>").select("i", T.repeated_ngram(F.col("w"), n, times).alias("r"))
+    many = lambda w: len(w) >= n * times and max(Counter(tuple(w[i : i + n]) for i in range(len(w) - n + 1)).values()) >= times
+    got = [x.r for x in rows.orderBy("i").collect()]
+    assert got == [many(w) for w in texts] and 0 < sum(got) < len(got)
+
+
+def test_terms_are_sought_one_by_one(spark):
+    rows = spark.createDataFrame([("a.b",), ("axb",), ("(c",), (None,)], "t string").select(T.contains_any(F.col("t"), ("a.b", "(c")).alias("r"))
+    assert [x.r for x in rows.collect()] == [True, False, True, None]
+    assert "RLIKE" not in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_content_tokens_are_distinct_and_in_order(spark):
+    rows = spark.createDataFrame([("The cat, THE cat and an owl: it is of owl's own",)], "t string").select(T.content_tokens(F.col("t")).alias("r"))
+    assert rows.first().r == ["cat", "owl", "owl's", "own"]
